@@ -52,11 +52,11 @@ PROFILE = f"""named_struct(
     'userLocations', {LOCATIONS})"""
 
 
-def located_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with their customer, nation and region."""
+def located_orders(spark: SparkSession, sf: str, orders: DataFrame | None = None) -> DataFrame:
+    """Orders (the table, or a stream of it) with their customer, nation and region."""
+    orders = table(spark, sf, "orders") if orders is None else orders
     return (
-        table(spark, sf, "orders")
-        .join(table(spark, sf, "customer"), F.expr("o_custkey = c_custkey"))
+        orders.join(table(spark, sf, "customer"), F.expr("o_custkey = c_custkey"))
         .join(table(spark, sf, "nation"), F.expr("c_nationkey = n_nationkey"))
         .join(table(spark, sf, "region"), F.expr("n_regionkey = r_regionkey"))
     )
@@ -248,8 +248,8 @@ def _submission_columns() -> list[str]:
     ]
 
 
-def observations(spark: SparkSession, sf: str) -> DataFrame:
-    return located_orders(spark, sf).selectExpr(
+def observations(spark: SparkSession, sf: str, orders: DataFrame | None = None) -> DataFrame:
+    return located_orders(spark, sf, orders).selectExpr(
         *_submission_columns(),
         "concat('ent-c', o_custkey) AS entityId",
         "concat('code-c', o_custkey) AS entityExternalId",

@@ -24,7 +24,7 @@ from .documents import (
     evidence_view,
     observation_view,
 )
-from .registry import query, table
+from .registry import query, table, table_stream
 
 
 @query(
@@ -116,17 +116,15 @@ def publish_days(spark: SparkSession, sf: str) -> DataFrame:
         F.count("*").alias("n"))
 
 
-def _observation_topic(spark: SparkSession, sf: str) -> str:
-    """Observations as JSON bytes in a folder of files, the shape of a topic."""
-    folder = shared_folder(spark, "topic")
-    derive.records(derive.observations(spark, sf)).write.parquet(folder)
-    return folder
+def _observation_records(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream of observations as JSON bytes, the shape of a topic."""
+    return derive.records(derive.observations(spark, sf, table_stream(spark, sf, "orders")))
 
 
 @query(OBSERVATION_SQL)
 def stream_answers(spark: SparkSession, sf: str) -> DataFrame:
     """Question-level rows from a stream of records, by the batch function."""
-    stream = read_stream(spark, "parquet", _observation_topic(spark, sf), "value binary")
+    stream = _observation_records(spark, sf)
 
     def report(source: DataFrame) -> DataFrame:
         good, _ = split_bad(records(source, schemas.OBSERVATION))
@@ -141,7 +139,7 @@ def stream_answers(spark: SparkSession, sf: str) -> DataFrame:
 @query(EVIDENCE_SQL)
 def stream_evidence(spark: SparkSession, sf: str) -> DataFrame:
     """Evidence rows from the same records, a second query with its own checkpoint."""
-    stream = read_stream(spark, "parquet", _observation_topic(spark, sf), "value binary")
+    stream = _observation_records(spark, sf)
 
     def report(source: DataFrame) -> DataFrame:
         good, _ = split_bad(records(source, schemas.OBSERVATION))
@@ -175,8 +173,7 @@ def stream_bad_records(spark: SparkSession, sf: str) -> DataFrame:
 def stream_idempotent_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Each micro-batch owns a folder, so a replayed batch replaces itself."""
     folder = shared_folder(spark, "batches")
-    schema = table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet")
+    stream = table_stream(spark, sf, "events")
     report = lambda s: s.filter("event_type <> 'error'").select("event_id", "event_type")
     for attempt in ("first", "replayed"):
         # a fresh checkpoint makes the second run write batch 0 again

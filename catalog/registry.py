@@ -26,3 +26,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a stream of its files.
+
+    The pattern matches the one file (or folder) of the table: a streaming
+    source takes a folder or a pattern, not the name of a file.
+    """
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
