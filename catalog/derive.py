@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formfold.sources import spread
+
 from .registry import table
 
 STATUS = "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'started' ELSE 'inProgress' END"
@@ -54,7 +56,7 @@ PROFILE = f"""named_struct(
 
 def located_orders(spark: SparkSession, sf: str, orders: DataFrame | None = None) -> DataFrame:
     """Orders (the table, or a stream of it) with their customer, nation and region."""
-    orders = table(spark, sf, "orders") if orders is None else orders
+    orders = spread(table(spark, sf, "orders")) if orders is None else orders
     return (
         orders.join(table(spark, sf, "customer"), F.expr("o_custkey = c_custkey"))
         .join(table(spark, sf, "nation"), F.expr("c_nationkey = n_nationkey"))

@@ -117,8 +117,13 @@ def publish_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _observation_records(spark: SparkSession, sf: str) -> DataFrame:
-    """A stream of observations as JSON bytes, the shape of a topic."""
-    return derive.records(derive.observations(spark, sf, table_stream(spark, sf, "orders")))
+    """A stream of observations as JSON bytes, the shape of a topic.
+
+    The one input file gives each micro-batch one partition, as a topic with one
+    partition would; it is spread before the wide work.
+    """
+    orders = table_stream(spark, sf, "orders").repartition(spark.sparkContext.defaultParallelism)
+    return derive.records(derive.observations(spark, sf, orders))
 
 
 @query(OBSERVATION_SQL)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "as_column",
     "distinct_list",
+    "distinct_structs",
     "ecm_marked_na",
     "evidence_files",
     "item",
@@ -45,6 +46,18 @@ def distinct_list(arr: Column | str) -> Column:
     return F.array_distinct(as_column(arr))
 
 
+def distinct_structs(arr: Column | str) -> Column:
+    """De-duplication of an array of structs, given as a column (it is read thrice).
+
+    Comparing structs pairwise is slow, so their hashes are compared first: only
+    when two hashes agree can there be a repeat, and the exact comparison runs.
+    """
+    arr = as_column(arr)
+    hashes = F.transform(arr, lambda x: F.xxhash64(x))
+    may_repeat = F.array_size(F.array_distinct(hashes)) < F.array_size(arr)
+    return F.when(may_repeat, F.array_distinct(arr)).otherwise(arr)
+
+
 def ecm_marked_na(evidences_status: Column | str) -> Column:
     """Names of evidence methods marked not applicable, each followed by ';'."""
     marked = F.filter(as_column(evidences_status), lambda e: e["notApplicable"])

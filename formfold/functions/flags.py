@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .arrays import as_column
+from .text import one_line
 
 __all__ = [
     "app_name",
@@ -44,7 +45,7 @@ def solution_type(is_rubric: Column | str, level_report: Column | str) -> Column
 
 
 def project_title(solution_name: Column | str, title: Column | str) -> Column:
-    return F.regexp_replace(F.coalesce(as_column(solution_name), as_column(title)), "\n", " ")
+    return one_line(F.coalesce(as_column(solution_name), as_column(title)))
 
 
 def completed_date(status: Column | str, updated_at: Column | str) -> Column:

@@ -23,12 +23,12 @@ __all__ = [
 
 
 def one_line(c: Column | str) -> Column:
-    return F.regexp_replace(as_column(c), "\n", " ")
+    return F.replace(as_column(c), F.lit("\n"), F.lit(" "))
 
 
 def join_lines(c: Column | str) -> Column:
     """Lines joined with a space before each, so the text starts with a blank."""
-    return F.concat(F.lit(" "), F.replace(as_column(c), F.lit("\n"), F.lit(" ")))
+    return F.concat(F.lit(" "), one_line(c))
 
 
 def join_array(arr: Column | str, sep: str = ",") -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from formfold.functions import (
     as_column,
+    distinct_structs,
     flag_string,
     non_school_orgs,
     one_line,
@@ -149,8 +150,8 @@ def flatten_tasks(df: DataFrame, base: str = "") -> DataFrame:
         )
 
     indexes = F.when(n > 0, F.sequence(F.lit(0), n - 1))
-    rows = staged.withColumn(
-        "_row", F.explode_outer(F.array_distinct(F.transform(indexes, row)))
+    rows = staged.withColumn("_rows", F.transform(indexes, row)).withColumn(
+        "_row", F.explode_outer(distinct_structs("_rows"))
     )
     kept = [c for c in df.columns if c not in ("tasks", "attachments", "remarks")]
     flat = rows.select(
@@ -196,7 +197,7 @@ def fan_out_orgs(df: DataFrame, organisations: Column | str) -> DataFrame:
 def fan_out_roles(df: DataFrame, roles: Column | str) -> DataFrame:
     """One row per distinct role struct, its fields as columns."""
     taken = [c for c in df.columns if c != roles]
-    rows = df.withColumn("_role", F.explode_outer(F.array_distinct(as_column(roles))))
+    rows = df.withColumn("_role", F.explode_outer(distinct_structs(roles)))
     names = [f.name for f in rows.schema["_role"].dataType.fields if f.name not in taken]
     return rows.select(*taken, *[F.col(f"_role.{n}").alias(n) for n in names])
 

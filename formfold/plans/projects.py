@@ -25,29 +25,6 @@ from formfold.operators import (
     locations_to_columns,
 )
 
-TASK_COLUMNS = [
-    "task_id",
-    "tasks",
-    "task_assigned_to",
-    "task_start_date",
-    "task_end_date",
-    "tasks_date",
-    "tasks_status",
-    "task_evidence",
-    "task_evidence_status",
-    "task_deleted_flag",
-    "task_remarks",
-    "sub_task_id",
-    "sub_task",
-    "sub_task_status",
-    "sub_task_date",
-    "sub_task_start_date",
-    "sub_task_end_date",
-    "sub_task_deleted_flag",
-    "project_evidence",
-    "project_remarks",
-]
-
 DIMENSIONS = [
     "program_name",
     "program_id",
@@ -86,11 +63,10 @@ def project_report(
 
     Location names come from the user's profile or, when ``entities`` (see
     ``entity_keys``) is given, from the entity found by the user's location ids.
-    Nothing here shuffles except entity lookups too big to broadcast: rows of a
-    project are built, merged and fanned out inside the project's own row.
+    Everything about the project as a whole is computed before its tasks are
+    exploded. Nothing here shuffles except entity lookups too big to broadcast:
+    rows of a project are built, merged and fanned out inside the project's row.
     """
-    rows = flatten_tasks(projects, evidence_base)
-    rows = fan_out_orgs(rows, "userProfile.organisations")
     profile = F.col("userProfile")
     columns = {
         "project_id": F.col("_id"),
@@ -122,17 +98,29 @@ def project_report(
         "certificate_id": F.col("certificate.osid"),
         "certificate_status": F.col("certificate.status"),
         "certificate_date": F.col("certificate.issuedOn"),
-        "evidence_status": evidence_status("project_has_evidence", "task_evidence_status"),
     }
-    kept = [*TASK_COLUMNS, "organisation_id", "organisation_name"]
-    located = profile["userLocations"] if entities is None else F.col("userRoleInformation")
-    flat = rows.select(
-        *[c.alias(name) for name, c in columns.items()], *kept, located.alias("_located")
+    nested = {
+        "tasks": F.col("tasks"),
+        "attachments": F.col("attachments"),
+        "remarks": F.col("remarks"),
+        "_organisations": profile["organisations"],
+    }
+    if entities is None:
+        located = {"_locations": profile["userLocations"]}
+    else:
+        located = {f"{lv}_externalId": F.col(f"userRoleInformation.{lv}") for lv in LEVELS}
+    flat = projects.select(
+        *[c.alias(name) for name, c in (columns | nested | located).items()]
     )
     if entities is None:
-        return locations_to_columns(flat, "_located").drop("_located")
-    ids = {f"{level}_externalId": F.col(f"_located.{level}") for level in LEVELS}
-    return hierarchy(flat.withColumns(ids).drop("_located"), entities)
+        flat = locations_to_columns(flat, "_locations").drop("_locations")
+    else:
+        flat = hierarchy(flat, entities)
+    rows = fan_out_orgs(flatten_tasks(flat, evidence_base), "_organisations")
+    has_evidence = evidence_status("project_has_evidence", "task_evidence_status")
+    return rows.withColumn("evidence_status", has_evidence).drop(
+        "_organisations", "project_has_evidence"
+    )
 
 
 def project_counts(report: DataFrame, dims: list[str] = DIMENSIONS) -> DataFrame:

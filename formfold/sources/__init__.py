@@ -7,6 +7,7 @@ from .readers import (
     read_stream,
     records,
     scan,
+    spread,
     unwrap,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "read_stream",
     "records",
     "scan",
+    "spread",
     "unwrap",
 ]

@@ -37,6 +37,19 @@ def unwrap(df: DataFrame, column: str = "events") -> DataFrame:
     return df.select(F.explode_outer(column).alias(column)).select(f"{column}.*")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the cluster has cores.
+
+    A few files that cannot be split (gzip JSON, one row group) would leave all
+    wide work after them to a few tasks. A large scan has more splits than
+    cores and stays as it is, without a shuffle; so does a stream.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan(
     df: DataFrame,
     columns: list[str],
