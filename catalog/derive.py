@@ -301,8 +301,8 @@ def entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def solutions(spark: SparkSession, sf: str) -> DataFrame:
-    """The solutions orders refer to, with a two-level theme tree."""
-    return (
+    """The solutions orders refer to, with a theme tree; six at most, so broadcast."""
+    return F.broadcast(
         table(spark, sf, "orders")
         .selectExpr("o_orderkey % 6 AS n")
         .distinct()
@@ -324,7 +324,8 @@ def solutions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def programs(spark: SparkSession, sf: str) -> DataFrame:
-    return (
+    """The programs of all users; seven at most, so broadcast."""
+    return F.broadcast(
         table(spark, sf, "orders")
         .selectExpr("o_custkey % 7 AS n")
         .distinct()
@@ -338,7 +339,10 @@ def programs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def questions(spark: SparkSession, sf: str) -> DataFrame:
-    """q2 offers every priority but the lowest; q3 offers statuses and ranks; the rest none."""
+    """q2 offers every priority but the lowest; q3 offers statuses and ranks; the rest none.
+
+    Seven rows whatever the data, so broadcast.
+    """
     orders = table(spark, sf, "orders")
     none = "cast(array() as array<struct<value:variant,label:string>>)"
     priorities = orders.select("o_orderpriority").distinct().filter("o_orderpriority <> '5-LOW'")
@@ -355,7 +359,7 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     plain = orders.sparkSession.createDataFrame([(q,) for q in ("q1", "q4", "q5", "q6", "q8")], "qid string")
-    return (
+    return F.broadcast(
         plain.selectExpr("qid", f"{none} AS options")
         .unionByName(options(priorities, "q2", "o_orderpriority"))
         .unionByName(options(marks, "q3", "v"))
@@ -367,8 +371,11 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def criteria(spark: SparkSession, sf: str) -> DataFrame:
-    """Criteria documents; section S1 lists the first questions, S2 the others."""
-    return (
+    """Criteria documents; section S1 lists the first questions, S2 the others.
+
+    Four at most, so broadcast.
+    """
+    return F.broadcast(
         table(spark, sf, "orders")
         .selectExpr("o_orderkey % 4 AS n")
         .distinct()

@@ -24,8 +24,15 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its file listing and schema are read once per application."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

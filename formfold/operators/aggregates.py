@@ -51,6 +51,8 @@ def distinct_report(
     for alias, (id_column, condition) in specs.items():
         by_id.setdefault(id_column, []).append((alias, condition))
     width = max(len(group) for group in by_id.values())
+    types = {dict(df.dtypes)[id_column] for id_column in by_id}
+    id_type = types.pop() if len(types) == 1 else "string"
 
     kinds = []
     for kind, (id_column, group) in enumerate(by_id.items()):
@@ -59,14 +61,17 @@ def distinct_report(
             for _, condition in group
         ] + [F.lit(False)] * (width - len(group))
         kinds.append(
-            F.struct(
+            [
                 F.lit(kind).alias("_kind"),
-                F.col(id_column).cast("string").alias("_id"),
+                F.col(id_column).cast(id_type).alias("_id"),
                 *[f.alias(f"_f{i}") for i, f in enumerate(flags)],
-            )
+            ]
         )
     flag_names = [f"_f{i}" for i in range(width)]
-    rows = df.select(*dims, F.inline(F.array(*kinds)))
+    if len(kinds) == 1:
+        rows = df.select(*dims, *kinds[0])
+    else:
+        rows = df.select(*dims, F.inline(F.array(*[F.struct(*k) for k in kinds])))
     ids = rows.groupBy(*dims, "_kind", "_id").agg(*[F.max(f).alias(f) for f in flag_names])
     counts = [
         F.count_if(
