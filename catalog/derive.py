@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formfold.operators import entity_keys
 from formfold.sources import spread
+from formfold.workspace import materialize
 
 from .registry import table
 
@@ -300,6 +302,11 @@ def entities(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def entity_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Entities by location id and by code, written once for the joins of all levels."""
+    return materialize(entity_keys(entities(spark, sf)), "entities", ["entity_type"])
+
+
 def solutions(spark: SparkSession, sf: str) -> DataFrame:
     """The solutions orders refer to, with a theme tree; six at most, so broadcast."""
     return F.broadcast(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from formfold.operators import (
     entity_columns,
-    entity_keys,
     fan_out_orgs,
     fan_out_roles,
     flatten_tasks,
@@ -17,6 +16,8 @@ from formfold.operators import (
 from formfold.plans import answers, dump, evidence, projects, status
 from formfold.plans.answers import explode_answers, match_answers
 
+from formfold.workspace import materialize
+
 from . import derive
 from .checks import ANSWERS, LOCATED, ORGS, STATUS, URLS
 from .registry import query
@@ -201,8 +202,7 @@ def project_distinct_counts_by_program(spark: SparkSession, sf: str) -> DataFram
 )
 def project_locations_by_entity(spark: SparkSession, sf: str) -> DataFrame:
     """Location names looked up by id or code, level by level."""
-    keys = entity_keys(derive.entities(spark, sf))
-    report = projects.project_report(derive.projects(spark, sf), BASE, entities=keys)
+    report = projects.project_report(derive.projects(spark, sf), BASE, entities=derive.entity_table(spark, sf))
     return report.select(
         "project_id", "program_id", "state_name", "district_name", "school_name", "state_id", "block_name"
     ).distinct()
@@ -560,7 +560,8 @@ def status_report(spark: SparkSession, sf: str) -> DataFrame:
 )
 def status_report_required_level(spark: SparkSession, sf: str) -> DataFrame:
     """Names from all users' locations; submissions without a known district drop out."""
-    keys = status.location_keys(derive.observations(spark, sf))
+    keys = materialize(
+        status.location_keys(derive.observations(spark, sf)), "places", ["entity_type"])
     report = _status(spark, sf, keys=keys, require=["district"])
     return report.select("submission_id", "district_name", "district_id")
 
@@ -630,7 +631,7 @@ def question_dump(spark: SparkSession, sf: str) -> DataFrame:
         derive.solutions(spark, sf),
         derive.programs(spark, sf),
         wanted.distinct(),
-        entity_keys(derive.entities(spark, sf)),
+        derive.entity_table(spark, sf),
     )
     return rows.select(
         "submission_id", "program_id", "program_name", "solution_name", "userName",

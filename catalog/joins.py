@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from formfold.functions import suffix
 from formfold.operators import (
+    checked_broadcast,
     drop_null,
-    entity_keys,
     explode_roles,
     fill,
     hierarchy,
@@ -74,7 +74,7 @@ def melt_join_pivot_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
         "concat('code-n', n_nationkey) AS district", "concat('loc-c', o_custkey) AS school",
     )
     ids = melt(subs, ["submission_id"], ["state", "district", "school"], "entity_type", "key")
-    named = left_lookup(ids, entity_keys(derive.entities(spark, sf)), ["entity_type", "key"])
+    named = left_lookup(ids, derive.entity_table(spark, sf), ["entity_type", "key"])
     flagged = named.withColumn("flag", suffix("entity_type", "_name"))
     names = ["state_name", "district_name", "school_name"]
     return pivot(flagged, ["submission_id"], "flag", names, [F.min("entity_name")])
@@ -214,7 +214,7 @@ def merge_two_reports(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT n_nationkey, n_name, n_regionkey, s_suppkey FROM nation JOIN supplier ON s_nationkey = n_nationkey")
 def natural_join(spark: SparkSession, sf: str) -> DataFrame:
     suppliers = table(spark, sf, "supplier").selectExpr("s_nationkey AS n_nationkey", "s_suppkey")
-    return natural(table(spark, sf, "nation"), suppliers)
+    return natural(checked_broadcast(table(spark, sf, "nation")), suppliers)
 
 
 @query(

@@ -99,20 +99,28 @@ def form_metrics(spark: SparkSession, sf: str) -> DataFrame:
     FROM lineitem GROUP BY ALL"""
 )
 def group_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts, distinct counts, first and largest values per group."""
-    keys = ["l_returnflag", "l_linestatus"]
-    rows = table(spark, sf, "lineitem")
-    parts = [
-        count_by(rows, keys, "n"),
-        distinct_by(rows, keys, "l_suppkey", "suppliers"),
-        first_by(rows.withColumn("ship", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")),
-                 keys, "ship", "first_ship"),
-        max_by_key(rows, keys, "l_quantity", "most"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(part, keys)
-    return out
+    """Counts, distinct counts, first and largest values per group, in one pass."""
+    return table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
+        F.count("*").alias("n"),
+        F.countDistinct("l_suppkey").alias("suppliers"),
+        F.date_format(F.min("l_shipdate"), "yyyy-MM-dd HH:mm:ss").alias("first_ship"),
+        F.max("l_quantity").alias("most"),
+    )
+
+
+@query("SELECT l_partkey, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY ALL")
+def distinct_per_group(spark: SparkSession, sf: str) -> DataFrame:
+    return distinct_by(table(spark, sf, "lineitem"), ["l_partkey"], "l_suppkey", "suppliers")
+
+
+@query("SELECT o_custkey, min(o_orderpriority) AS priority FROM orders GROUP BY ALL")
+def first_per_group(spark: SparkSession, sf: str) -> DataFrame:
+    return first_by(table(spark, sf, "orders"), ["o_custkey"], "o_orderpriority", "priority")
+
+
+@query("SELECT o_custkey, max(o_totalprice) AS most FROM orders GROUP BY ALL")
+def max_per_group(spark: SparkSession, sf: str) -> DataFrame:
+    return max_by_key(table(spark, sf, "orders"), ["o_custkey"], "o_totalprice", "most")
 
 
 @query(
@@ -377,7 +385,7 @@ _POST_DAYS = """
         strftime(make_timestamp((event_id * 60000 + 86400000) * 1000), '%Y-%m-%d') AS post_end_date,
         event_id % 9 AS m1,
         CASE WHEN user_id % 10 % 2 = 0 THEN event_id % 5 ELSE event_id % 4 END AS m2,
-        CAST(NULL AS BIGINT) AS m3,
+        -1::BIGINT AS m3,
         CASE WHEN event_id % 5 <> 0 AND event_id % 4 <> 0
             THEN round((event_id % 5) / (event_id % 4), 6) END AS post_ctr
     FROM events WHERE event_type = 'view'"""
@@ -398,7 +406,8 @@ def post_metrics(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = social.post_metrics(days, groups)
     return rows.select(
-        "post_id", "page_id", "cluster_id", "post_start_date", "post_end_date", "m1", "m2", "m3",
+        "post_id", "page_id", "cluster_id", "post_start_date", "post_end_date", "m1", "m2",
+        F.coalesce("m3", F.lit(-1).cast("bigint")).alias("m3"),
         F.round("post_ctr", 6).alias("post_ctr"),
     )
 

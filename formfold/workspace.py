@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -21,3 +21,16 @@ def shared_folder(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="formfold-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str, by: list[str] = ()) -> DataFrame:
+    """Write a derived table to the shared folder and read it back.
+
+    For a derived dimension used by several joins: it is computed once, its
+    size is known to the planner (so a small one is broadcast without shuffling
+    the other side first), and a big one joins as a plain scan, whose skewed
+    partitions adaptive execution can split. ``by`` columns become folders.
+    """
+    path = shared_folder(df.sparkSession, label)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

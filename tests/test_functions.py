@@ -65,3 +65,51 @@ def test_matching_a_stream_to_known_batches(spark, tmp_path):
     run_stream(source, lambda s: s.filter("id > 2"), sink, str(tmp_path / "cp")).awaitTermination()
     found = sorted(r[0] for r in spark.read.text(str(tmp_path / "out")).collect())
     assert found == ['{"id":3,"name":"n3"}', '{"id":4,"name":"n4"}']
+
+
+def test_checked_broadcast_marks_small_tables_only(spark):
+    from conftest import plan_text
+    from formfold.operators import checked_broadcast
+
+    facts = spark.range(100).withColumnRenamed("id", "k")
+    dim = spark.range(50).selectExpr("id AS k", "concat('n', id) AS name")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_text(facts.join(checked_broadcast(dim, 50), "k"))
+        assert "BroadcastHashJoin" not in plan_text(facts.join(checked_broadcast(dim, 49), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+
+
+def test_column_sets_and_time_stamp(spark):
+    from formfold.operators import missing_columns, with_missing, with_time_stamp
+
+    a, b = spark.range(1).selectExpr("id", "1 AS x", "2 AS y"), spark.range(1)
+    assert missing_columns(a, b) == ["x", "y"]
+    assert dict(with_missing(b, {"x": "int", "id": "int"}).dtypes) == {"id": "bigint", "x": "int"}
+    assert dict(with_time_stamp(b).dtypes)["time_stamp"] == "timestamp"
+
+
+def test_shared_folder_follows_the_session():
+    from types import SimpleNamespace
+
+    from formfold.workspace import shared_folder
+
+    def session(root, master="spark://cluster"):
+        conf = SimpleNamespace(get=lambda key, default: root if key == "spark.checkpoint.dir" else default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    first, second = (shared_folder(session("hdfs://shared/root/"), "x") for _ in range(2))
+    assert first.startswith("hdfs://shared/root/x-") and first != second
+    assert shared_folder(session(None, "local[2]"), "x")
+    with pytest.raises(ValueError, match="shared by all executors"):
+        shared_folder(session(None), "x")
+
+
+def test_under_split_scans_are_spread(spark):
+    from formfold.sources import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(10).coalesce(1), spark.range(10).repartition(cores + 1)
+    assert spread(few).rdd.getNumPartitions() == cores
+    assert spread(many) is many
