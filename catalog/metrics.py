@@ -292,12 +292,22 @@ TOP_GROUPS = {
                 "filters": [{"type": "in", "dimension": "o_orderstatus", "values": ["F", "O"]}],
                 "dimensions": [
                     {"fieldName": "o_custkey", "aliasName": "User"},
-                    {"fieldName": "o_orderstatus", "aliasName": "Status", "lookup": "statuses"},
+                    {
+                        "fieldName": "o_orderstatus",
+                        "aliasName": "Status",
+                        "type": "extraction",
+                        "extractionFn": [
+                            {"type": "registeredLookup", "fn": "statuses", "retainMissingValue": True}
+                        ],
+                    },
                 ],
                 "aggregations": [
                     {"name": "orders", "type": "countDistinct", "fieldName": "o_orderkey"}
                 ],
-                "limitSpec": {"column": "orders", "limit": 500},
+                "limitSpec": {
+                    "limit": 500,
+                    "columns": [{"dimension": "orders", "direction": "descending"}],
+                },
             }
         }
     ],
@@ -322,6 +332,66 @@ def topn_groups(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+GROUP_ROWS = {
+    "metrics": [
+        {
+            "druidQuery": {
+                "dimensions": [
+                    {"fieldName": "o_custkey", "aliasName": "User"},
+                    {
+                        "fieldName": "o_orderpriority",
+                        "aliasName": "Rank",
+                        "type": "extraction",
+                        "extractionFn": [
+                            {"type": "registeredLookup", "fn": "ranks", "retainMissingValue": False}
+                        ],
+                    },
+                ],
+                "limitSpec": {
+                    "limit": 1000,
+                    "columns": [
+                        {"dimension": "COUNT_DISTINCT(o_orderkey)", "direction": "descending"}
+                    ],
+                },
+            }
+        }
+    ],
+    "dateRange": {"interval": {"startDate": "1996-01-01", "endDate": "2000-01-01"}},
+}
+
+
+@query(
+    """SELECT "User", "Rank" FROM (
+        SELECT o_custkey AS "User", CASE WHEN o_orderpriority < '3' THEN 'urgent'
+            WHEN o_orderpriority < '5' THEN 'normal' END AS "Rank", count(DISTINCT o_orderkey) AS n
+        FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '2000-01-01'
+        GROUP BY ALL)
+    ORDER BY n DESC, 1, 2 NULLS FIRST LIMIT 1000"""
+)
+def topn_merged_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups under looked-up names, ordered by a distinct count that is not shown."""
+    orders = table(spark, sf, "orders")
+    ranks = orders.select("o_orderpriority").distinct().filter("o_orderpriority < '5'").selectExpr(
+        "o_orderpriority AS key", "if(o_orderpriority < '3', 'urgent', 'normal') AS value")
+    return metrics.group_report(orders, GROUP_ROWS, "o_orderdate", lookups={"ranks": ranks})
+
+
+@query(
+    f"""WITH daily AS ({_DAILY_SQL})
+    SELECT strftime(day, '%d-%m-%Y') AS "Date", entries,
+        CASE WHEN day < DATE '2024-01-15' THEN 'old' ELSE 'new' END AS run
+    FROM daily WHERE day > (SELECT max(day) FROM daily) - INTERVAL 2 WEEK"""
+)
+def rollup_merge_text_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """The same merge on formatted dates, as report files hold them."""
+    daily = metrics.time_metrics(table(spark, sf, "events"), {**DAILY, "labels": {}})
+    shown = F.date_format("date", "dd-MM-yyyy").alias("Date")
+    old = daily.filter("date < '2024-01-18'").select(shown, "entries", F.lit("old").alias("run"))
+    new = daily.filter("date >= '2024-01-15'").select(shown, "entries", F.lit("new").alias("run"))
+    merge = {"rollup": 1, "rollupAge": "WEEK", "rollupRange": 2, "rollupCol": "Date||%d-%m-%Y"}
+    return metrics.rollup_merge(old, new, merge)
+
+
 @query(
     f"""WITH daily AS ({_DAILY_SQL}),
     previous AS (SELECT day, clicks - 1 AS clicks FROM daily WHERE day < DATE '2024-01-20'),
@@ -337,8 +407,8 @@ def rollup_merge(spark: SparkSession, sf: str) -> DataFrame:
     daily = daily.select("date", "clicks")
     previous = daily.filter("date < '2024-01-20'").withColumn("clicks", F.col("clicks") - 1)
     new = daily.filter("date >= '2024-01-15'")
-    merge = {"rollup": 1, "rollupAge": "DAY", "rollupRange": 14}
-    rows = metrics.rollup_merge(previous, new, "date", merge)
+    merge = {"rollup": 1, "rollupAge": "DAY", "rollupRange": 14, "rollupCol": "date"}
+    rows = metrics.rollup_merge(previous, new, merge)
     return rows.withColumn("date", F.date_format("date", DAY))
 
 

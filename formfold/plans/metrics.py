@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formfold.operators import distinct_if, top
+from formfold.operators import distinct_if
 
 
 def spec_filter(filters: list[dict]) -> Column:
@@ -66,49 +67,87 @@ def time_metrics(df: DataFrame, spec: dict, ts: str = "ts") -> DataFrame:
     return df.groupBy(*keys).agg(*measures).withColumnsRenamed(spec.get("labels", {}))
 
 
+def _looked_up(df: DataFrame, dimension: dict, lookups: dict[str, DataFrame]) -> DataFrame:
+    """Add a dimension under its alias, through its lookups if it has any.
+
+    A lookup is a frame of ``key`` and ``value``; with ``retainMissingValue`` a
+    value it does not know stays, otherwise it becomes null. Lookups come before
+    the grouping, since two keys may share a value.
+    """
+    name = dimension["aliasName"]
+    df = df.withColumn(name, F.col(dimension["fieldName"]))
+    for step in dimension.get("extractionFn", []):
+        if step["type"] != "registeredLookup":
+            raise ValueError(f"unknown extraction: {step['type']}")
+        known = lookups[step["fn"]].select(
+            F.col("key").alias(name), F.col("value").alias("_value")
+        )
+        value = F.coalesce("_value", name) if step.get("retainMissingValue") else F.col("_value")
+        df = df.join(known, name, "left").withColumn(name, value).drop("_value")
+    return df
+
+
+def _order_measure(name: str) -> Column | None:
+    """``COUNT_DISTINCT(c)`` as a measure to order by; None for the name of a column."""
+    found = re.fullmatch(r"COUNT_DISTINCT\((\w+)\)", name)
+    return F.countDistinct(found.group(1)).alias(name) if found else None
+
+
 def group_report(
     df: DataFrame, spec: dict, ts: str = "ts", lookups: dict[str, DataFrame] | None = None
 ) -> DataFrame:
-    """Groups of a dimension list, largest distinct count first, up to the spec's limit.
+    """Groups of a dimension list with their counts, ordered and limited by the spec.
 
-    A dimension with a lookup (``key``, ``value`` frame) shows the looked-up
-    value, or its own where the lookup has none. Lookups apply to the groups,
-    not to the rows.
+    The order may name an aggregation, a dimension or ``COUNT_DISTINCT(column)``,
+    which is computed for the order and not shown. Dimensions settle ties.
     """
     query = spec["metrics"][0]["druidQuery"]
-    dims = query["dimensions"]
     df = _in_range(df, spec, ts).filter(spec_filter(query.get("filters", [])))
-    measures = [_measure(a, F.lit(True)) for a in query["aggregations"]]
-    names = [d["aliasName"] for d in dims]
-    groups = df.groupBy(*[F.col(d["fieldName"]).alias(d["aliasName"]) for d in dims]).agg(*measures)
-    for d in dims:
-        if "lookup" in d:
-            name = d["aliasName"]
-            table = lookups[d["lookup"]].select(
-                F.col("key").alias(name), F.col("value").alias("_value")
-            )
-            groups = (
-                groups.join(table, name, "left")
-                .withColumn(name, F.coalesce("_value", name))
-                .drop("_value")
-            )
-    limit = query.get("limitSpec")
-    if limit:
-        groups = top(groups, limit["column"], limit["limit"], names)
-    return groups.withColumnsRenamed(spec.get("labels", {}))
-
-
-def rollup_merge(previous: DataFrame, new: DataFrame, date: str, merge: dict) -> DataFrame:
+    for dimension in query["dimensions"]:
+        df = _looked_up(df, dimension, lookups or {})
+    names = [d["aliasName"] for d in query["dimensions"]]
+    measures = {a["name"]: _measure(a, F.lit(True)) for a in query.get("aggregations", [])}
+    order = query.get("limitSpec", {}).get("columns", [])
+    hidden = {c["dimension"]: _order_measure(c["dimension"]) for c in order}
+    hidden = {name: m for name, m in hidden.items() if m is not None}
+    every = [*measures.values(), *hidden.values()]
+    groups = df.groupBy(*names).agg(*every) if every else df.select(*names).distinct()
+    if order:
+        by = [
+            F.col(f"`{c['dimension']}`").desc() if c["direction"] == "descending"
+            else F.col(f"`{c['dimension']}`").asc()
+            for c in order
+        ]
+        groups = groups.orderBy(*by, *names).limit(query["limitSpec"]["limit"])
+    shown = groups.select(*[F.col(f"`{n}`") for n in [*names, *measures]])
+    return shown.withColumnsRenamed(spec.get("labels", {}))
+
+
+# Date letters of a rollup column and what Spark calls them.
+_DATE_LETTERS = {"%d": "dd", "%m": "MM", "%Y": "yyyy", "%H": "HH", "%M": "mm", "%S": "ss"}
+
+
+def rollup_column(merge: dict) -> tuple[str, str | None]:
+    """Name and Spark date format of ``rollupCol``, given as ``name||format`` or ``name``."""
+    name, _, letters = merge["rollupCol"].partition("||")
+    for letter, spark_letter in _DATE_LETTERS.items():
+        letters = letters.replace(letter, spark_letter)
+    return name, letters or None
+
+
+def rollup_merge(previous: DataFrame, new: DataFrame, merge: dict) -> DataFrame:
     """Previous report plus the new period: same dates replaced, old dates dropped.
 
-    Keeps the last ``rollupRange`` units of ``rollupAge`` up to the newest date;
-    ``rollup`` 0 keeps the new period alone.
+    Keeps the last ``rollupRange`` units of ``rollupAge`` up to the newest date
+    of ``rollupCol``, a timestamp or a text with a format. ``rollup`` 0 keeps the
+    new period alone.
     """
     if not merge.get("rollup"):
         return new
-    kept = previous.join(new.select(date).distinct(), date, "left_anti")
+    name, letters = rollup_column(merge)
+    kept = previous.join(new.select(name).distinct(), name, "left_anti")
     merged = kept.unionByName(new)
-    unit = merge["rollupAge"].upper()
+    date = F.to_timestamp(name, letters) if letters else F.col(name)
     newest = merged.agg(F.max(date)).scalar()
-    oldest = F.timestamp_add(unit, F.lit(-merge["rollupRange"]), newest)
-    return merged.filter(F.col(date) > oldest)
+    oldest = F.timestamp_add(merge["rollupAge"].upper(), F.lit(-merge["rollupRange"]), newest)
+    return merged.filter(date > oldest)

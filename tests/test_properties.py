@@ -55,9 +55,9 @@ def test_rollup_merge_twice_is_once(spark, old, new, keep):
         rows = [(f"2024-01-{d:02d} 00:00:00", n) for d in sorted(days)]
         return spark.createDataFrame(rows, "date string, n int").withColumn("date", F.to_timestamp("date"))
 
-    merge = {"rollup": 1, "rollupAge": "DAY", "rollupRange": keep}
-    once = rollup_merge(frame(old, 1), frame(new, 2), "date", merge)
-    twice = rollup_merge(once, frame(new, 2), "date", merge)
+    merge = {"rollup": 1, "rollupAge": "DAY", "rollupRange": keep, "rollupCol": "date"}
+    once = rollup_merge(frame(old, 1), frame(new, 2), merge)
+    twice = rollup_merge(once, frame(new, 2), merge)
     newest = max(old | new)
     expected = sorted((d, 2 if d in new else 1) for d in old | new if d > newest - keep)
     for merged in (once, twice):
