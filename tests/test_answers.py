@@ -144,3 +144,21 @@ def test_bad_records_are_set_apart(spark):
     good, bad = split_bad(records(raw, "_id string"))
     assert [r[0] for r in good.collect()] == ["1"]
     assert sorted(r[0] for r in bad.collect()) == ["text", '{"_id": ', "{}"]
+
+
+def test_observation_fans_out_given_roles(docs):
+    from pyspark.sql import functions as F
+
+    sub = {"_id": "s", "status": "completed", "isAPrivateProgram": True, "entityId": "e",
+           "completedDate": "2024-01-01T00:00:00Z", "entityType": "school",
+           "answers": {"a": answer("free", "hi", ["hi"], "text")}}
+    subs = docs(schemas.OBSERVATION, sub).withColumn("roles", F.expr(
+        """array(named_struct('role_title', 'head', 'user_stateName', 'A'),
+            named_struct('role_title', 'head', 'user_stateName', 'A'),
+            named_struct('role_title', 'coach', 'user_stateName', 'A'))"""))
+    rows = observation_answers(
+        subs, docs(schemas.QUESTION, *QUESTIONS), docs(schemas.SOLUTION, {"_id": "x"}),
+        docs(schemas.PROGRAM, {"_id": "x"}), docs(schemas.CRITERIA, {"_id": "x"}),
+        docs(schemas.ENTITY, {"_id": "e"}), roles="roles")
+    found = rows.select("role_title", "user_stateName", "questionAnswer", "school").collect()
+    assert sorted(tuple(r) for r in found) == [("coach", "A", "hi", "e"), ("head", "A", "hi", "e")]
