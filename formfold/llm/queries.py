@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, toxicity
+from . import exact_dedup, langid, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +38,30 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(langid.sample(docs.filter(~held)))
     found = langid.identify(docs.select("doc_id", "text"), model, columns=["doc_id"])
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as web archives and read back, a row per page."""
+    files = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts of every document, and the one that stays."""
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op5_exact_dedup"] = r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+), r AS (
+  SELECT doc_id, text_sha256, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+         first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS keep_id
+  FROM n
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
+"""
