@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, toxicity, warc
+from . import exact_dedup, langid, mixing, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,3 +65,9 @@ WITH n AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 """
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
