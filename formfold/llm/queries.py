@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, mixing, toxicity, warc
+from . import exact_dedup, langid, mixing, ngram_join, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,3 +71,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, links and component of every document by five-word n-grams."""
+    found = ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "component_id", "kept")
