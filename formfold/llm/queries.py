@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, mixing, ngram_join, toxicity, warc
+from . import exact_dedup, langid, mixing, ngram_join, packing, pii, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,3 +78,16 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, links and component of every document by five-word n-grams."""
     found = ngram_join.similar_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_links", "component_id", "kept")
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.personal_data(docs, pii.fit(pii.sample(docs)))
+
+
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bin and place of every piece of every document."""
+    return packing.pack(table(spark, sf_dir, "documents")).drop("row")
