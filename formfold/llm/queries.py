@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, mixing, ngram_join, packing, pii, toxicity, warc
+from . import embedding_dedup, exact_dedup, langid, mixing, ngram_join, packing, pii, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -91,3 +91,9 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bin and place of every piece of every document."""
     return packing.pack(table(spark, sf_dir, "documents")).drop("row")
+
+
+@query
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
