@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, langid, mixing, ngram_join, packing, pii, toxicity, warc
+from . import embedding_dedup, exact_dedup, langid, line_dedup, mixing, ngram_join, packing, pii, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -97,3 +98,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, how many stay, and a digest of what is left."""
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -26,17 +27,25 @@ def keep(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keep_bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
-    """Like ``keep``, as a table bucketed by ``key``: joins on it shuffle only the other side.
+def keep_numbered(df: DataFrame, label: str) -> DataFrame:
+    """Keep ``df`` with two more columns, ``part`` and ``row``, bucketed by ``part``.
 
-    As many buckets as shuffle partitions; the exchange that brought the rows
-    together by ``key`` also deals them to the buckets.
+    ``row`` numbers the rows, ``part`` the tasks that wrote them, so a task's rows lie
+    in one bucket and are written without a shuffle. Tables of rows can later be joined
+    to this one on both columns: they alone are shuffled, by ``part``, which holds as
+    many rows as one task read. For that the planner must take a join's rows as
+    co-located when they are by some of its keys; the setting is made here.
     """
     spark = df.sparkSession
-    path, name = shared_folder(spark, label), f"{label}_{uuid.uuid4().hex}"
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    path, name = shared_folder(spark, label), f"{label}_{uuid.uuid4().hex}".replace("-", "_")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    numbered = df.withColumn("row", F.monotonically_increasing_id()).withColumn("part", F.shiftright("row", 33))
+    numbered.write.bucketBy(buckets, "part").options(path=path, compression="zstd").format("parquet").saveAsTable(name)
+    # The frame reads the files from here on; the catalog needs no entry for that.
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def drop(*frames: DataFrame) -> None:
