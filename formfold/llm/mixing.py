@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import keep, keep_numbered
 
 BLOCKS, SHARDS = 1024, 16
 WEIGHTS = (3, 1, 2)
@@ -176,8 +176,8 @@ def mix_report(docs: DataFrame, text: str = "text", **options) -> DataFrame:
 
 def mix(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mix itself: the input's columns, a row per copy, in shard and place order within tasks."""
-    base = keep(docs.withColumn("mix_row__", F.monotonically_increasing_id()), "mix-docs", "zstd")
-    rows = base.select(F.col("mix_row__").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(text).alias("size"))
-    used = plan(keep(rows, "mix-sizes"), **options).select(F.col("row").alias("mix_row__"), F.explode("uses").alias("mix_use__"))
-    copies = base.join(used, "mix_row__").sortWithinPartitions("mix_use__.shard", "mix_use__.place")
-    return copies.select(*docs.columns)
+    base = keep_numbered(docs.select(F.struct(*docs.columns).alias("doc")), "mix-docs")
+    rows = base.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.source").cast("string").alias("source"), size_of(f"doc.{text}").alias("size"))
+    used = plan(keep(rows, "mix-sizes"), **options).select(F.shiftright("row", 33).alias("part"), "row", F.explode("uses").alias("use"))
+    copies = base.join(used, ["part", "row"]).sortWithinPartitions("use.shard", "use.place")
+    return copies.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))

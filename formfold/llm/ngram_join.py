@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import keep
+from .store import keep, keep_numbered
 
 N, THRESHOLD, RECALL, HEIGHT = 5, 0.8, 0.998, 5
 #: Words of text that a block of a bucket aims at, and members of a bucket beyond which it has blocks.
@@ -236,19 +236,27 @@ def _verify(n: int, threshold: float) -> callable:
     return run
 
 
-def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, height: int = HEIGHT, row: str | None = None) -> DataFrame:
-    """One row per document: row, doc_id, class_id, n_links, component_id, kept.
+def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per document: doc_id, class_id, n_links, component_id, kept.
 
     ``class_id``: smallest id with the same n-gram set; ``n_links``: other documents
     that are similar, copies included; ``component_id``: smallest id that links reach;
-    ``kept``: one document of each component. ``row``: a column that numbers the rows,
-    if the frame has one that does not change when it is read again.
+    ``kept``: one document of each component.
     """
+    docs = keep_numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "join-docs")
+    return grouped_rows(docs, **options).drop("part", "row")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents without those that resemble one that stays through a chain of links."""
+    whole = keep_numbered(docs.select(F.struct(*docs.columns).alias("doc"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "join-docs")
+    stay = grouped_rows(whole.select("part", "row", "doc_id", "text"), **options).filter("kept").select("part", "row")
+    return whole.join(stay, ["part", "row"]).select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
+
+
+def grouped_rows(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, height: int = HEIGHT) -> DataFrame:
+    """``similar_groups`` of a kept table with part, row, doc_id and text, and these numbers."""
     bands = bands_for(threshold, recall, height)
-    number = F.monotonically_increasing_id() if row is None else F.col(row)
-    docs = docs.select(number.alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    if row is None:
-        docs = keep(docs, "join-docs", "zstd")
     signed = keep(sign(docs, n, bands, height), "join-signed")
 
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
@@ -271,7 +279,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     large = large.select("bucket", "band", "row", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
     units = small.select("bucket", "band", "row", "i", "j", "side").unionByName(large)
     # A unit's rows come together by its own key, so a large bucket goes to many tasks.
-    shipped = units.join(classes.select("row", "members", "bands"), "row").join(docs.select("row", "text"), "row")
+    # Only these rows move: the texts lie by the number of the task that wrote them.
+    shipped = units.join(classes.select("row", "members", "bands"), "row").withColumn("part", F.shiftright("row", 33))
+    shipped = shipped.join(docs.select("part", "row", "text"), ["part", "row"]).drop("part")
     shipped = shipped.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     made = keep(shipped.mapInArrow(_verify(n, threshold), MADE), "join-links")
 
@@ -284,6 +294,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     with_set = signed.select("row", "doc_id", "h1", "h2").join(named, ["h1", "h2"], "left")
     alone = F.col("h1").isNull()
     return with_set.select(
+        F.shiftright("row", 33).alias("part"),
         "row",
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),

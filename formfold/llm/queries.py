@@ -105,3 +105,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines, how many stay, and a digest of what is left."""
     found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline from end to end."""
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
