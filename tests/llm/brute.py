@@ -43,7 +43,7 @@ def jaccard_links(sets: dict, threshold=0.8):
                 yield k, o
 
 
-def fuzzy_lines(docs: list[tuple], n=8, threshold=0.8):
+def fuzzy_lines(docs: list[tuple], n=12, threshold=0.8):
     """[(id, cleaned text, lines, kept)] of [(id, text)] by comparing all distinct lines."""
     blank = " \t\n\x0b\x0c\r"
     first: dict = {}
