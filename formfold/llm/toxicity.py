@@ -255,18 +255,20 @@ def scores(model: dict, texts: pa.Array) -> np.ndarray:
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[bytes, int]], float]:
     """At most ``SAMPLE`` labelled texts of each kind, and the share of toxic ones among all labels.
 
-    Short texts first, as a label tells more about them; then by a hash of the text.
-    Longer texts give their first ``SAMPLE_WORDS`` words. An id labelled twice counts
-    as toxic if one label says so; null labels and null texts are left out.
+    Of each kind, at most ``8 * SAMPLE`` ids with the smallest hashes are candidates:
+    this list is what is broadcast to find their texts. Of these, short texts come first,
+    as a label tells more about them, then those with the smallest hashes. Longer texts
+    give their first ``SAMPLE_WORDS`` words. An id labelled twice counts as toxic if one
+    label says so; null labels and null texts are left out.
     """
     y = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("y"))
-    text = F.substring("text", 1, 8 * SAMPLE_WORDS)
-    long = F.length("text") > 8 * SAMPLE_WORDS
-    rows = docs.filter("text is not null").select("doc_id", text.alias("text"), long.alias("long"), F.xxhash64("text").alias("h")).join(y, "doc_id")
     share = y.agg(F.avg(F.col("y").cast("double"))).first()[0]
     got = []
     for kind in (0, 1):
-        best = rows.filter(F.col("y") == kind).orderBy("long", "h", "text").select("text").limit(SAMPLE)
+        ids = y.filter(F.col("y") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(8 * SAMPLE).select("doc_id")
+        rows = docs.filter("text is not null").join(F.broadcast(ids), "doc_id")
+        rows = rows.select(F.substring("text", 1, 8 * SAMPLE_WORDS).alias("text"), (F.length("text") > 8 * SAMPLE_WORDS).alias("long"), F.xxhash64("text").alias("h"))
+        best = rows.orderBy("long", "h", "text").select("text").limit(SAMPLE)
         got += [(r["text"].encode(), kind) for r in best.collect()]
     return got, share or 0.0
 
