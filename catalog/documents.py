@@ -13,7 +13,7 @@ from formfold.operators import (
     locations_to_columns,
     theme_table,
 )
-from formfold.plans import answers, dump, evidence, projects, status
+from formfold.plans import answers, dump, evidence, hand, projects, status
 from formfold.plans.answers import explode_answers, match_answers
 
 from formfold.workspace import materialize
@@ -520,6 +520,7 @@ report AS (
             AS ecm_marked_na,
         c_mktsegment AS role_title, concat('root', n_regionkey) AS channel,
         concat('B1,B', c % 3) AS board_name,
+        CASE WHEN c % 2 = 0 THEN 'teacher' ELSE 'teacher,head' END AS user_type,
         CASE k % 3 WHEN 1 THEN concat('Org ', c % 5) WHEN 2 THEN 'Last' END AS organisation_name,
         CASE k % 3 WHEN 1 THEN concat('org', c % 5) WHEN 2 THEN 'last' END AS organisation_id,
         CASE WHEN c % 13 > 0 THEN r_name END AS state_name,
@@ -529,12 +530,19 @@ report AS (
         CASE WHEN c % 13 > 0 THEN c_name END AS school_name, k, c
     FROM located)
 """
+# the same rows once per organisation that is not a school
+_STATUS_ORGS_SQL = f"""{_STATUS_SQL}, {ORGS},
+fanned AS (
+    SELECT report.* EXCLUDE (organisation_name, organisation_id), orgs.organisation_name,
+        orgs.organisation_id
+    FROM report JOIN orgs ON org_k = k)
+"""
 _STATUS_NAMES = [
     "submission_id", "status", "entity_externalId", "entity_id", "entity_type", "user_id",
     "solution_id", "solution_name", "program_id", "program_name", "app_name", "private_program",
-    "solution_type", "ecm_marked_na", "role_title", "channel", "board_name", "organisation_name",
-    "organisation_id", "state_name", "state_externalId", "district_name", "district_externalId",
-    "school_name",
+    "solution_type", "ecm_marked_na", "role_title", "channel", "board_name", "user_type",
+    "organisation_name", "organisation_id", "state_name", "state_externalId", "district_name",
+    "district_externalId", "school_name",
 ]
 
 
@@ -573,16 +581,22 @@ _STATUS_DIMS = """program_name, program_id, solution_name, solution_id, state_na
     CAST(NULL AS VARCHAR) AS parent_channel, solution_type, private_program"""
 
 
-@query(f"{_STATUS_SQL} SELECT {_STATUS_DIMS}, status, {_STATUS_COUNTS} FROM report GROUP BY ALL")
+@query(f"{_STATUS_ORGS_SQL} SELECT * EXCLUDE (k, c) FROM fanned")
+def status_report_organisations(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per submission and organisation."""
+    return _status(spark, sf, every_organisation=True).select(*_STATUS_NAMES)
+
+
+@query(f"{_STATUS_ORGS_SQL} SELECT {_STATUS_DIMS}, status, {_STATUS_COUNTS} FROM fanned GROUP BY ALL")
 def status_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    return status.status_counts(_status(spark, sf))
+    return status.status_counts(_status(spark, sf, every_organisation=True))
 
 
-_DOMAIN_SQL = f"""{_STATUS_SQL},
+_DOMAIN_SQL = f"""{_STATUS_ORGS_SQL},
 themed AS (
     SELECT *, 'Domain A' AS domain_name, 'DA' AS "domain_externalId", concat('L', k % 3) AS domain_level,
-        unnest([0, 1]) AS ci FROM report
-    UNION ALL SELECT *, 'Domain B', 'DB', concat('L', k % 2), 2 FROM report),
+        unnest([0, 1]) AS ci FROM fanned
+    UNION ALL SELECT *, 'Domain B', 'DB', concat('L', k % 2), 2 FROM fanned),
 scored AS (
     SELECT *, concat('Criterion ', ci) AS criteria_name, concat('L', (k + ci) % 4) AS criteria_score,
         concat('crit', ci) AS criteria_id
@@ -593,7 +607,7 @@ _DOMAIN_DIMS = f'{_STATUS_DIMS}, domain_name, "domain_externalId", domain_level'
 
 @query(f"{_DOMAIN_SQL} SELECT {_DOMAIN_DIMS}, {_STATUS_COUNTS} FROM scored GROUP BY ALL")
 def domain_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    return status.domain_counts(_status(spark, sf))
+    return status.domain_counts(_status(spark, sf, every_organisation=True))
 
 
 @query(
@@ -601,7 +615,7 @@ def domain_distinct(spark: SparkSession, sf: str) -> DataFrame:
     FROM scored GROUP BY ALL"""
 )
 def domain_criteria_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    return status.domain_counts(_status(spark, sf), by_criteria=True)
+    return status.domain_counts(_status(spark, sf, every_organisation=True), by_criteria=True)
 
 
 @query(
@@ -733,3 +747,53 @@ def entity_type_columns(spark: SparkSession, sf: str) -> DataFrame:
         subs, ["block", "school"], "entityType", "entityId", "entityName", "entityExternalId"
     )
     return rows.select("submission_id", "school", "schoolName", "blockExternalId")
+
+
+_RUBRIC_SQL = f"FROM ({OBSERVATION_SQL}) AS o WHERE solution_type = 'observation_with_rubric'"
+_HAND_WHO = """"createdBy" AS "UUID", role_title AS "User Sub Type", organisation_name AS "Org Name",
+    "programName" AS "Program Name", "solutionName" AS "Observation Name",
+    "observationSubmissionId" AS observation_submission_id, "domainName" AS "Domain Name",
+    "user_stateName" AS "Declared State", "user_districtName" AS "District",
+    "user_schoolUDISE_code" AS "School ID\""""
+
+
+@query(
+    f"""SELECT DISTINCT {_HAND_WHO}, "domainLevel" AS "Domain Level", "childName" AS "Criteria Name",
+        level AS "Criteria Level" {_RUBRIC_SQL}"""
+)
+def domain_hand_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Domains and criteria of rubric observations under their labels."""
+    return hand.domain_report(observation_answers(spark, sf))
+
+
+@query(
+    f"""SELECT DISTINCT {_HAND_WHO}, "questionExternalId" AS "Question_external_id",
+        "questionName" AS "Question", "questionResponseLabel" AS "Question_response_label",
+        evidences AS "Evidences", remarks AS "Remarks" {_RUBRIC_SQL}"""
+)
+def question_hand_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Questions and answers of rubric observations under their labels."""
+    rows = hand.question_report(observation_answers(spark, sf))
+    return rows.drop("Question score")
+
+
+@query(
+    f"""{_STATUS_SQL} SELECT DISTINCT user_id AS "UUID", role_title AS "User sub type",
+        state_name AS "Declared State", program_name AS "Program Name", status AS "Status"
+    FROM report WHERE app_name = 'portal' AND solution_type = 'observation_with_rubric'
+        AND private_program = 'false' AND user_id IN (
+            SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)"""
+)
+def status_hand_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Status rows of the users a table names, for one app and kind of observation."""
+    users = spark.read.parquet(f"{sf}/customer.parquet").filter("c_acctbal > 0")
+    users = users.select(F.col("c_custkey").cast("string").alias("id"))
+    labels = {
+        "user_id": "UUID",
+        "role_title": "User sub type",
+        "state_name": "Declared State",
+        "program_name": "Program Name",
+        "status": "Status",
+    }
+    kind = {"solution_type": hand.RUBRIC, "private_program": "false"}
+    return hand.handed_status(_status(spark, sf), users, ["portal"], labels, **kind)

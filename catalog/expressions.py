@@ -34,7 +34,7 @@ TS = "yyyy-MM-dd HH:mm:ss"
         CASE WHEN o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 THEN 'observation_with_rubric'
             ELSE 'observation_with_out_rubric' END AS kind,
         CASE WHEN o_orderkey % 5 = 0 THEN concat('Title ', o_custkey) ELSE 'Sol A' END AS title,
-        CASE WHEN o_orderstatus = 'submitted' THEN '' END AS done,
+        CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS done,
         coalesce(lower(CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END), 'survey_app') AS app,
         concat(o_orderstatus, '_name') AS label, 'fixed' AS channel,
         CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 THEN false
@@ -54,7 +54,9 @@ def flags_and_cases(spark: SparkSession, sf: str) -> DataFrame:
         fn.project_title(
             F.expr("if(o_orderkey % 5 = 0, null, 'Sol\\nA')"), F.expr("concat('Title\\n', o_custkey)")
         ).alias("title"),
-        F.date_format(fn.completed_date("o_orderstatus", "o_orderdate"), TS).alias("done"),
+        F.date_format(
+            fn.completed_date(F.expr("if(o_orderstatus = 'F', 'submitted', o_orderstatus)"), "o_orderdate"), TS
+        ).alias("done"),
         fn.app_name(F.expr("if(o_orderkey % 2 = 0, o_orderpriority, null)"), "survey_app").alias("app"),
         fn.suffix("o_orderstatus", "_name").alias("label"),
         fn.const("fixed").alias("channel"),

@@ -186,3 +186,19 @@ def stream_idempotent_batches(spark: SparkSession, sf: str) -> DataFrame:
             stream, report, batch_sink(f"{folder}/rows", once=True), f"{folder}/{attempt}")
         query_.awaitTermination()
     return spark.read.parquet(f"{folder}/rows").drop("batch")
+
+
+@query("SELECT event_id, event_type, user_id FROM events")
+def stream_rows_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches with other boundaries bring the same rows: each is stored once."""
+    folder = shared_folder(spark, "keyed")
+    events = table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    events.withColumn("half", F.col("event_id") % 2).write.partitionBy("half").parquet(f"{folder}/topic")
+    for attempt, files in (("one", 1), ("all", 1000)):
+        stream = (
+            spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
+            .parquet(f"{folder}/topic/half=*")
+        )
+        sink = batch_sink(f"{folder}/rows", once=True, keys=["event_id"])
+        run_stream(stream, lambda s: s, sink, f"{folder}/{attempt}").awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").drop("batch")

@@ -560,3 +560,29 @@ def sorted_head(spark: SparkSession, sf: str) -> DataFrame:
     )
     day = F.date_format("o_orderdate", DAY).alias("day")
     return head(rows, 10000).select("o_orderkey", "o_orderpriority", day)
+
+
+_ORDER_GROUPS = [{"fieldName": "o_orderpriority", "aliasName": "Priority"}]
+TWO_METRICS = {
+    "metrics": [
+        {
+            "druidQuery": {
+                "filters": [{"type": "in", "dimension": "o_orderstatus", "values": [status]}],
+                "dimensions": _ORDER_GROUPS,
+                "aggregations": [{"name": name, "type": "countDistinct", "fieldName": field}],
+            }
+        }
+        for status, name, field in (("F", "done", "o_orderkey"), ("O", "open_users", "o_custkey"))
+    ]
+}
+
+
+@query(
+    """SELECT o_orderpriority AS "Priority",
+        nullif(count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_orderkey END), 0) AS done,
+        nullif(count(DISTINCT CASE WHEN o_orderstatus = 'O' THEN o_custkey END), 0) AS open_users
+    FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL"""
+)
+def group_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Several metrics of one dimension list side by side."""
+    return metrics.group_report(table(spark, sf, "orders"), TWO_METRICS, "o_orderdate")

@@ -253,9 +253,12 @@ def entity_columns(
 def metric_slots(df: DataFrame, stats: str, names: str, slots: int = 9) -> DataFrame:
     """Values of the named metrics in slots m1..mN; null names are skipped.
 
-    ``stats`` is a map of metric values, ``names`` an array of metric names.
+    ``stats`` is a map of metric values, ``names`` an array of metric names. A row
+    with more names than slots is an error, never cut.
     """
-    present = F.array_compact(names)
+    given = F.array_compact(names)
+    too_many = F.raise_error(F.lit(f"more than {slots} metrics in a row"))
+    present = F.when(F.size(given) > slots, too_many).otherwise(given)
     added = {
         f"m{i}": F.try_element_at(F.col(stats), F.get(present, F.lit(i - 1)))
         for i in range(1, slots + 1)

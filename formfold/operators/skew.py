@@ -23,10 +23,12 @@ def spread_join(
     """Inner equi-join of many fact rows with one lookup row per key.
 
     Keys with more than ``hot_rows`` facts are split into parts by a hash of
-    the row's plain columns (a retried task splits them the same way), and their
-    lookup row is repeated once per part. All other keys join as usual. Remove
-    copies of whole rows first: they share a part. ``rows_per_key`` (keys + ``n``) saves the counting pass when
-    the caller has the counts already.
+    the row (a retried task splits them the same way), and their lookup row is
+    repeated once per part. Copies of a whole row would share a part, so those
+    of hot keys travel as one row with a count, which becomes rows again behind
+    the join; facts with a column that cannot be compared (a map or variant) keep
+    theirs. All other keys join as usual. ``rows_per_key`` (keys + ``n``) saves
+    the counting pass when the caller has the counts already.
     """
     counts = rows_per_key if rows_per_key is not None else facts.groupBy(*keys).agg(
         F.count("*").alias("n")
@@ -37,10 +39,20 @@ def spread_join(
     parts = F.coalesce("_parts", F.lit(1))
     flat = [c for c, t in facts.dtypes if not t.startswith(("map", "array", "struct", "variant"))]
     row_part = F.pmod(F.xxhash64(*flat), parts).cast("int")
-    spread = facts.join(F.broadcast(hot), keys, "left").withColumn("_part", row_part)
+    marked = facts.join(F.broadcast(hot), keys, "left")
+    comparable = not any("map<" in t or "variant" in t for _, t in facts.dtypes)
+    if comparable:
+        usual = marked.filter("_parts is null").withColumn("_copies", F.lit(1).cast("long"))
+        often = marked.filter("_parts is not null").groupBy(*marked.columns)
+        marked = usual.unionByName(often.agg(F.count("*").alias("_copies")))
+    spread = marked.withColumn("_part", row_part)
     repeated = (
         lookup.join(F.broadcast(hot), keys, "left")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_parts")
     )
-    return spread.drop("_parts").join(repeated, [*keys, "_part"]).drop("_part")
+    joined = spread.drop("_parts").join(repeated, [*keys, "_part"]).drop("_part")
+    if comparable:
+        joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        joined = joined.drop("_copy", "_copies")
+    return joined

@@ -32,7 +32,7 @@ def course_progress(scans: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         F.col("User_id").alias("user_id"),
         F.col("user_login_id").alias("login_id"),
     )
-    events = events.na.drop(subset=["course", "user_id"]).dropDuplicates()
+    events = events.na.drop(subset=["course", "user_id"])
     keys = ["course", "resource", "user_id"]
     per_resource = events.groupBy(*keys).agg(
         F.max("progress").alias("course_progress"),
@@ -44,7 +44,9 @@ def course_progress(scans: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
     best = per_resource.drop("_last", "n").join(finished, ["course", "user_id"])
     matched = spread_join(events, best, keys, per_resource.select(*keys, "n"), hot_rows)
-    return matched.filter(F.col("progress") == F.col("course_progress")).select(
+    # Copies change no maximum, so only the rows that reach one are compared.
+    matched = matched.filter(F.col("progress") == F.col("course_progress")).dropDuplicates()
+    return matched.select(
         "course",
         "batch",
         "learner",

@@ -99,28 +99,55 @@ def group_report(
     """Groups of a dimension list with their counts, ordered and limited by the spec.
 
     The order may name an aggregation, a dimension or ``COUNT_DISTINCT(column)``,
-    which is computed for the order and not shown. Dimensions settle ties.
+    which is computed for the order and not shown. Dimensions settle ties; a limit
+    without an order takes groups in dimension order. Several metrics must have the
+    same dimensions: a group that any of them has gets a row, with nulls for the
+    others' measures.
     """
-    query = spec["metrics"][0]["druidQuery"]
-    df = _in_range(df, spec, ts).filter(spec_filter(query.get("filters", [])))
+    queries = [m["druidQuery"] for m in spec["metrics"]]
+    names = [d["aliasName"] for d in queries[0]["dimensions"]]
+    if any([d["aliasName"] for d in q["dimensions"]] != names for q in queries):
+        raise ValueError("the metrics of a group report must have the same dimensions")
+    measures = [a["name"] for q in queries for a in q.get("aggregations", [])]
+    if len(set(measures)) < len(measures):
+        raise ValueError("two metrics of a group report have a measure of one name")
+    ranged = _in_range(df, spec, ts)
+    groups = _groups(ranged, queries[0], names, lookups or {})
+    for query in queries[1:]:
+        groups = _beside(groups, _groups(ranged, query, names, lookups or {}), names)
+    shown = groups.select(*[F.col(f"`{n}`") for n in [*names, *measures]])
+    return shown.withColumnsRenamed(spec.get("labels", {}))
+
+
+def _groups(df: DataFrame, query: dict, names: list[str], lookups: dict) -> DataFrame:
+    """The groups of one metric."""
+    df = df.filter(spec_filter(query.get("filters", [])))
     for dimension in query["dimensions"]:
-        df = _looked_up(df, dimension, lookups or {})
-    names = [d["aliasName"] for d in query["dimensions"]]
+        df = _looked_up(df, dimension, lookups)
     measures = {a["name"]: _measure(a, F.lit(True)) for a in query.get("aggregations", [])}
-    order = query.get("limitSpec", {}).get("columns", [])
+    limit = query.get("limitSpec", {})
+    order = limit.get("columns", [])
     hidden = {c["dimension"]: _order_measure(c["dimension"]) for c in order}
     hidden = {name: m for name, m in hidden.items() if m is not None}
     every = [*measures.values(), *hidden.values()]
     groups = df.groupBy(*names).agg(*every) if every else df.select(*names).distinct()
-    if order:
-        by = [
-            F.col(f"`{c['dimension']}`").desc() if c["direction"] == "descending"
-            else F.col(f"`{c['dimension']}`").asc()
-            for c in order
-        ]
-        groups = groups.orderBy(*by, *names).limit(query["limitSpec"]["limit"])
-    shown = groups.select(*[F.col(f"`{n}`") for n in [*names, *measures]])
-    return shown.withColumnsRenamed(spec.get("labels", {}))
+    by = [
+        F.col(f"`{c['dimension']}`").desc() if c["direction"] == "descending"
+        else F.col(f"`{c['dimension']}`").asc()
+        for c in order
+    ]
+    if "limit" in limit:
+        return groups.orderBy(*by, *names).limit(limit["limit"])
+    return groups.orderBy(*by, *names) if by else groups
+
+
+def _beside(a: DataFrame, b: DataFrame, names: list[str]) -> DataFrame:
+    """Full outer join on the dimensions, where nulls are equal."""
+    other = b.withColumnsRenamed({n: f"_{n}" for n in names})
+    same = [a[f"`{n}`"].eqNullSafe(other[f"`_{n}`"]) for n in names]
+    both = a.join(other, same, "outer")
+    keys = {n: F.coalesce(F.col(f"`{n}`"), F.col(f"`_{n}`")) for n in names}
+    return both.withColumns(keys).drop(*[f"_{n}" for n in names])
 
 
 # Date letters of a rollup column and what Spark calls them.

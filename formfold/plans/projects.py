@@ -25,6 +25,7 @@ from formfold.operators import (
     locations_to_columns,
 )
 
+# The dimensions of the report.
 DIMENSIONS = [
     "program_name",
     "program_id",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from formfold.functions import (
     app_name,
+    distinct_text,
     ecm_marked_na,
     flag_string,
     join_array,
@@ -17,11 +18,13 @@ from formfold.operators import (
     LEVELS,
     distinct_report,
     explode_domain,
+    fan_out_orgs,
     hierarchy,
     locations_to_columns,
     with_name,
 )
 
+# The dimensions and count names of the report.
 DIMENSIONS = [
     "program_name",
     "program_id",
@@ -73,8 +76,13 @@ def status_report(
     require: list[str] = (),
     default_app: str = "survey_app",
     parent_channel: str | None = None,
+    every_organisation: bool = False,
 ) -> DataFrame:
-    """One row per submission with app, flags, organisation and location names.
+    """One row per submission with app, flags, user types, organisation and location names.
+
+    The organisation is the last of the user's list, or with ``every_organisation``
+    there is a row for each that is not a school (one with nulls if there is none).
+    The counts below need the latter.
 
     ``keys`` (``location_keys`` or ``entity_keys``) resolves the user's location
     ids level by level; levels in ``require`` drop unmatched rows. Without it
@@ -104,12 +112,15 @@ def status_report(
         "channel": profile["rootOrgId"],
         "parent_channel": F.lit(parent_channel).cast("string"),
         "board_name": join_array(profile["framework"]["board"]),
-        "organisation_name": org["orgName"],
-        "organisation_id": org["organisationId"],
+        "user_type": distinct_text(profile["profileUserTypes"]["type"]),
         "themes": F.col("themes"),
         "criteria": F.col("criteria"),
         "_located": profile["userLocations"],
     }
+    if every_organisation:
+        columns["_organisations"] = profile["organisations"]
+    else:
+        columns |= {"organisation_name": org["orgName"], "organisation_id": org["organisationId"]}
     if keys is not None:
         columns |= {f"{lv}_externalId": F.col(f"userRoleInformation.{lv}") for lv in LEVELS}
     rows = submissions.select(*[c.alias(name) for name, c in columns.items()])
@@ -118,7 +129,10 @@ def status_report(
     else:
         rows = hierarchy(rows, keys, require=require)
     rows = with_name(rows.drop("_located"), solutions, "solution_id", "solution_name")
-    return with_name(rows, programs, "program_id", "program_name")
+    rows = with_name(rows, programs, "program_id", "program_name")
+    if every_organisation:
+        rows = fan_out_orgs(rows, "_organisations").drop("_organisations")
+    return rows
 
 
 def status_counts(report: DataFrame) -> DataFrame:

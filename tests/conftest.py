@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
@@ -23,6 +23,8 @@ def spark():
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

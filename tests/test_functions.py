@@ -40,7 +40,7 @@ def test_value(spark, column, expected):
     assert spark.range(1).select(column()).first()[0] == expected
 
 
-def test_deep_theme_trees_are_found_and_too_deep_ones_refused(spark):
+def test_theme_trees_of_any_depth_are_walked(spark):
     from formfold.operators import theme_criteria
 
     def tree(depth):
@@ -49,10 +49,22 @@ def test_deep_theme_trees_are_found_and_too_deep_ones_refused(spark):
             node = f'{{"name":"n{i}","children":[{node}]}}'
         return spark.range(1).select(F.parse_json(F.lit(f"[{node}]")).alias("t"))
 
-    found = tree(20).select(theme_criteria("t")).first()[0]
-    assert [(f["criteria_id"], f["parent"], f["domain_name"]) for f in found] == [("c", "leaf", "n19")]
-    with pytest.raises(Exception, match="deeper than"):
-        tree(20).select(theme_criteria("t", max_depth=10)).collect()
+    for depth in (1, 20, 40):
+        found = tree(depth).select(theme_criteria("t")).first()[0]
+        assert [(f["criteria_id"], f["parent"], f["domain_name"]) for f in found] == [
+            ("c", "leaf", f"n{depth - 1}")
+        ]
+
+
+def test_more_metrics_than_slots_are_refused(spark):
+    from formfold.operators import metric_slots
+
+    names = [f"n{i}" for i in range(11)]
+    rows = spark.createDataFrame([({n: i for i, n in enumerate(names)}, names)], "s map<string,int>, n array<string>")
+    wide = metric_slots(rows, "s", "n", slots=11).first()
+    assert [wide[f"m{i}"] for i in range(1, 12)] == list(range(11))
+    with pytest.raises(Exception, match="more than 9 metrics"):
+        metric_slots(rows, "s", "n").collect()
 
 
 def test_matching_a_stream_to_known_batches(spark, tmp_path):

@@ -41,6 +41,14 @@ def test_spread_join_splits_the_hot_key(spark):
     assert len(sizes) > 1
 
 
+def test_copies_of_a_hot_key_travel_as_one_row(spark):
+    facts = spark.createDataFrame([(1, "same")] * 1000 + [(2, "other")] * 3, "k int, v string")
+    lookup = facts.groupBy("k").agg(F.max("v").alias("top"))
+    joined = spread_join(facts, lookup, ["k"], hot_rows=100)
+    assert rows(joined) == rows(facts.join(lookup, "k"))
+    assert "_copies" in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_rows_at_max_keeps_all_ties_of_a_hot_key(spark):
     facts = hot(spark)
     best = F.max("v").over(W.partitionBy("k"))
