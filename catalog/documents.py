@@ -153,8 +153,8 @@ _PROJECT_NAMES = [
 ]
 
 
-def _report(spark: SparkSession, sf: str) -> DataFrame:
-    return projects.project_report(derive.projects(spark, sf), BASE)
+def _report(spark: SparkSession, sf: str, **options) -> DataFrame:
+    return projects.project_report(derive.projects(spark, sf), BASE, **options)
 
 
 @query(f"{_PROJECT_SQL} SELECT * FROM report")
@@ -180,7 +180,7 @@ _COUNTS = """
     FROM report GROUP BY ALL"""
 )
 def project_distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return projects.project_counts(_report(spark, sf))
+    return projects.project_counts(_report(spark, sf, per_task=False))
 
 
 @query(
@@ -190,7 +190,7 @@ def project_distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
     FROM report GROUP BY ALL"""
 )
 def project_distinct_counts_by_program(spark: SparkSession, sf: str) -> DataFrame:
-    return projects.project_counts(_report(spark, sf), projects.PROGRAM_DIMENSIONS)
+    return projects.project_counts(_report(spark, sf, per_task=False), projects.PROGRAM_DIMENSIONS)
 
 
 @query(

@@ -27,6 +27,7 @@ __all__ = [
     "explode_roles",
     "explode_rows",
     "fan_out_orgs",
+    "project_evidence",
     "fan_out_roles",
     "flatten_tasks",
     "locations_to_columns",
@@ -160,6 +161,12 @@ def flatten_tasks(df: DataFrame, base: str = "") -> DataFrame:
     return flat.na.fill("false", ["task_deleted_flag", "sub_task_deleted_flag"])
 
 
+def project_evidence(tasks: str, attachments: str) -> Column:
+    """Whether a row of the project's tasks has evidence: its own or the project's; a project without tasks has none."""
+    own = _length(F.col(attachments)) > 0
+    return F.exists(tasks, lambda t: own | (_length(t["attachments"]) > 0))
+
+
 def explode_domain(df: DataFrame) -> DataFrame:
     """Themes and their criteria matched to the scored criteria of the submission.
 

@@ -23,6 +23,7 @@ from formfold.operators import (
     flatten_tasks,
     hierarchy,
     locations_to_columns,
+    project_evidence,
 )
 
 # The dimensions of the report.
@@ -59,9 +60,13 @@ def project_report(
     evidence_base: str = "",
     parent_channel: str | None = None,
     entities: DataFrame | None = None,
+    per_task: bool = True,
 ) -> DataFrame:
     """One row per (project, task, attachment or sub-task, organisation).
 
+    With ``per_task=False`` a row per (project, organisation) that tells whether any
+    of those rows has evidence, which is all that the counts need.
+
     Location names come from the user's profile or, when ``entities`` (see
     ``entity_keys``) is given, from the entity found by the user's location ids.
     Everything about the project as a whole is computed before its tasks are
@@ -117,6 +122,10 @@ def project_report(
         flat = locations_to_columns(flat, "_locations").drop("_locations")
     else:
         flat = hierarchy(flat, entities)
+    if not per_task:
+        evidence = F.coalesce(project_evidence("tasks", "attachments"), F.lit(False))
+        flat = flat.withColumn("evidence_status", evidence)
+        return fan_out_orgs(flat.drop("tasks", "attachments", "remarks"), "_organisations").drop("_organisations")
     rows = fan_out_orgs(flatten_tasks(flat, evidence_base), "_organisations")
     has_evidence = evidence_status("project_has_evidence", "task_evidence_status")
     return rows.withColumn("evidence_status", has_evidence).drop(
@@ -125,7 +134,11 @@ def project_report(
 
 
 def project_counts(report: DataFrame, dims: list[str] = DIMENSIONS) -> DataFrame:
-    """Projects, users, certificates and submitted projects with evidence per group."""
+    """Projects, users, certificates and submitted projects with evidence per group.
+
+    Of ``project_report``; rows without tasks (``per_task=False``) give the same counts
+    for less.
+    """
     with_evidence = F.col("evidence_status") & (F.col("status_of_project") == "submitted")
     return distinct_report(
         report,
