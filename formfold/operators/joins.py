@@ -2,8 +2,7 @@
 
 No lookup forces a broadcast: dimensions grow with the data, so the planner
 decides by size and adaptive execution corrects it from the measured shuffle.
-A caller who knows a bound can mark a dimension (``checked_broadcast``); the
-mark survives the projections made here.
+A caller's own broadcast mark survives the projections made here.
 """
 
 from __future__ import annotations
@@ -13,7 +12,6 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "LEVELS",
-    "checked_broadcast",
     "entity_keys",
     "hierarchy",
     "join_any_key",
@@ -32,16 +30,6 @@ __all__ = [
 LEVELS = ["state", "district", "block", "cluster", "school"]
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a dimension for broadcast if it has at most ``max_rows`` rows.
-
-    The check reads no more than that many rows. A larger dimension comes back
-    unmarked and joins by shuffle. Use it for derived dimensions, whose size the
-    planner cannot see, when the other side is much too wide to shuffle.
-    """
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
-
-
 def with_name(
     df: DataFrame, dim: DataFrame, key: str, alias: str, dim_key: str = "_id", name: str = "name"
 ) -> DataFrame:

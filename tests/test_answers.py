@@ -162,3 +162,24 @@ def test_observation_fans_out_given_roles(docs):
         docs(schemas.ENTITY, {"_id": "e"}), roles="roles")
     found = rows.select("role_title", "user_stateName", "questionAnswer", "school").collect()
     assert sorted(tuple(r) for r in found) == [("coach", "A", "hi", "e"), ("head", "A", "hi", "e")]
+
+
+def test_a_theme_may_list_a_criterion_by_its_parent(spark):
+    from pyspark.sql import functions as F
+
+    from catalog import derive
+    from conftest import SF
+    from formfold.plans import answers
+
+    solutions = derive.solutions(spark, SF)
+    listed = F.parse_json(F.replace(F.to_json("themes"), F.lit('"crit2"'), F.lit('"parent2"')))
+    rest = (derive.programs(spark, SF), derive.criteria(spark, SF), derive.entities(spark, SF), "")
+
+    def domains(s):
+        rows = answers.observation_answers(derive.observations(spark, SF), derive.questions(spark, SF), s, *rest)
+        rows = rows.filter("criteriaId = 'crit2'").groupBy("domainName", "domainLevel", "level", "label").count()
+        return sorted(map(str, rows.collect()))
+
+    found = domains(solutions)
+    assert found and all("domainName='Domain B'" in r for r in found)
+    assert domains(solutions.withColumn("themes", listed)) == found

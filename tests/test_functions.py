@@ -79,20 +79,6 @@ def test_matching_a_stream_to_known_batches(spark, tmp_path):
     assert found == ['{"id":3,"name":"n3"}', '{"id":4,"name":"n4"}']
 
 
-def test_checked_broadcast_marks_small_tables_only(spark):
-    from conftest import plan_text
-    from formfold.operators import checked_broadcast
-
-    facts = spark.range(100).withColumnRenamed("id", "k")
-    dim = spark.range(50).selectExpr("id AS k", "concat('n', id) AS name")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan_text(facts.join(checked_broadcast(dim, 50), "k"))
-        assert "BroadcastHashJoin" not in plan_text(facts.join(checked_broadcast(dim, 49), "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
-
-
 def test_column_sets_and_time_stamp(spark):
     from formfold.operators import missing_columns, with_missing, with_time_stamp
 
