@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import keep, keep_numbered
+from .store import keep, keep_numbered, names
 
 N, THRESHOLD, RECALL, HEIGHT = 5, 0.8, 0.998, 5
 #: Words of text that a block of a bucket aims at, and members of a bucket beyond which it has blocks.
@@ -249,9 +249,11 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without those that resemble one that stays through a chain of links."""
-    whole = keep_numbered(docs.select(F.struct(*docs.columns).alias("doc"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "join-docs")
+    others = F.struct(F.lit(0).alias(names(docs, "none")), *(c for c in docs.columns if c != text))
+    whole = keep_numbered(docs.select(others.alias("doc"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "join-docs")
     stay = grouped_rows(whole.select("part", "row", "doc_id", "text"), **options).filter("kept").select("part", "row")
-    return whole.join(stay, ["part", "row"]).select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
+    columns = (F.col("text").alias(c) if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns)
+    return whole.join(stay, ["part", "row"]).select(*columns)
 
 
 def grouped_rows(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, height: int = HEIGHT) -> DataFrame:
