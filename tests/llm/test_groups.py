@@ -63,6 +63,14 @@ def test_lines_with_one_changed_character_are_one(spark):
     assert sorted((r["doc_id"], r["n_kept"]) for r in got) == [(i, int(i < 100)) for i, _ in docs]
 
 
+def test_runs_of_different_length_give_the_same_bins(spark):
+    """Equal shingle sets, though one line repeats a shingle hundreds of times."""
+    text = sentence(random.Random(18), 20)[:70]
+    pairs = [(c, text + c * n) for c in "-=_.*#~+:x" for n in (12, 120, 400)]
+    rows = line_dedup.with_bins(spark.createDataFrame(pairs, "c string, line string")).collect()
+    assert len({(r["c"], r["grams"], tuple(r["bins"])) for r in rows}) == 10 == len({r["c"] for r in rows})
+
+
 def test_line_query_agrees_with_all_pairs(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     want = {i: (n, k, hashlib.sha256((t or "").encode()).hexdigest()) for i, t, n, k in fuzzy_lines(docs)}
