@@ -7,8 +7,8 @@ those that list it, as candidates for each other. A list whose entries all reach
 threshold is saturated: its capacity doubles until other entries have room again, so
 no link is dropped for a full list. Rounds end when they find no further link. Then
 recall is audited: the vectors whose id divides by ``AUDIT_EVERY`` are compared with
-all others of their label in blocks, and more trees are added until enough of their
-links are in the graph. Edges from the threshold on make links and components.
+all others of their label in blocks, and more trees are added until vectors of few and
+of many links alike have enough of their links in the graph. Edges from the threshold on make links and components.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components,
 and vectors with a null label or id, link with nothing and are their own component.
@@ -18,6 +18,7 @@ all rows of the smallest id of a component are kept. Extra columns are ignored.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,6 +36,7 @@ THRESHOLD, RECALL, AUDIT_EVERY = 0.93, 0.98, 100
 #: threshold that a list keeps, members of a list that one round joins.
 TREES, LEAF, CAPACITY, OTHERS, JOINED = 8, 96, 12, 3, 64
 BLOCK = 256
+_log = logging.getLogger(__name__)
 
 
 def usable(vector: str) -> Column:
@@ -108,20 +110,20 @@ def _found(groups: Iterator[pa.RecordBatch], pairs_of: Callable) -> Iterator[pa.
 
 
 def _leaf_join(threshold: float) -> Callable:
-    """Each vector's nearest ones of its leaf."""
+    """Each vector's links of its leaf, all of them, and the nearest others."""
 
     def pairs(g: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         node, x = np.asarray(g.column("node")), _unit(_matrix(g.column("vector")))
         sim = x @ x.T
         np.fill_diagonal(sim, -2)
-        many = min(CAPACITY, len(node) - 1)
+        many = min(OTHERS, len(node) - 1)
         if many < 1:
             return (node[:0], node[:0], np.zeros(0))
+        wanted = np.triu(sim >= threshold)
         near = np.argpartition(-sim, many - 1, axis=1)[:, :many]
-        value = np.take_along_axis(sim, near, 1)
-        rank = np.argsort(np.argsort(-value, axis=1), axis=1)
-        i, j = np.nonzero((value >= threshold) | (rank < OTHERS))
-        return node[i], node[near[i, j]], value[i, j]
+        np.put_along_axis(wanted, near, True, 1)
+        i, j = np.nonzero(wanted)
+        return node[i], node[j], sim[i, j]
 
     return lambda batches: _found(_groups(batches, ["tree", "leaf", "part"]), pairs)
 
@@ -210,7 +212,8 @@ def _truth(nodes: DataFrame, threshold: float, every: int) -> DataFrame:
     def pairs(g: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         node, query, x = np.asarray(g.column("node")), np.asarray(g.column("query")), _unit(_matrix(g.column("vector")))
         sim = x[query] @ x[~query].T
-        i, j = np.nonzero((sim >= threshold) & (node[query][:, None] != node[~query][None, :]))
+        # Pairs that rounding may put on either side of the threshold are not asked for: no tree could promise them.
+        i, j = np.nonzero((sim >= threshold + 1e-9) & (node[query][:, None] != node[~query][None, :]))
         return node[query][i], node[~query][j], sim[i, j]
 
     keys = ["space", "block", "slice"]
@@ -218,16 +221,32 @@ def _truth(nodes: DataFrame, threshold: float, every: int) -> DataFrame:
     return together.mapInArrow(lambda batches: _found(_groups(batches, keys), pairs), EDGE)
 
 
-def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, every: int = AUDIT_EVERY, most_rounds: int = 30) -> tuple[DataFrame, float]:
-    """(edges in both directions, audited recall) of (node, space, vector, audited)."""
+def audited_recall(truth: DataFrame, graph: DataFrame, threshold: float) -> float:
+    """The smallest recall among audited vectors of like many links.
+
+    A vector counts by the share of its own links that the graph has, and vectors are
+    averaged by the power of two below their number of links: neither a dense cluster's
+    many links nor its many vectors hide what isolated pairs lack. 1 without links.
+    """
+    links = graph.filter(F.col("sim") >= threshold).select("u", "v", F.lit(1).alias("hit"))
+    share = truth.select("u", "v").join(links, ["u", "v"], "left").groupBy("u").agg(F.count("*").alias("wanted"), (F.count("hit") / F.count("*")).alias("share"))
+    least = share.groupBy(F.floor(F.log2("wanted")).alias("size")).agg(F.avg("share").alias("recall")).agg(F.min("recall")).first()[0]
+    return 1.0 if least is None else least
+
+
+def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, every: int = AUDIT_EVERY) -> tuple[DataFrame, float]:
+    """(edges in both directions, audited recall) of (node, space, vector, audited).
+
+    Trees are added until the audit reaches ``recall``, however many that takes. A leaf
+    keeps all its links, so every tree finds any given link with some probability.
+    """
     truth, graph, trees, now = keep(_truth(nodes, threshold, every), "nn-truth"), None, range(TREES), 0
-    wanted = truth.count()
     while True:
         leaves = _leaves(nodes, trees).join(nodes.select("node", "vector"), "node").repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part")
         found = leaves.select("tree", "leaf", "part", "node", "vector").mapInArrow(_leaf_join(threshold), EDGE).withColumn("round", F.lit(now))
         graph = _merged(found if graph is None else graph.unionByName(found), threshold)
         links = graph.filter(F.col("sim") >= threshold).count()
-        while now < most_rounds:
+        while True:
             now += 1
             more = _refine(graph, nodes, threshold, now).withColumn("round", F.lit(now))
             old, graph = graph, _merged(graph.unionByName(more), threshold)
@@ -235,9 +254,9 @@ def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD, recall: floa
             before, links = links, graph.filter(F.col("sim") >= threshold).count()
             if links == before:
                 break
-        hit = truth.join(graph.filter(F.col("sim") >= threshold).select("u", "v"), ["u", "v"], "left_semi").count()
-        reached = hit / wanted if wanted else 1.0
-        if reached >= recall or trees.start >= 8 * TREES or now >= most_rounds:
+        reached = audited_recall(truth, graph, threshold)
+        _log.info("recall %.4f with %d trees after %d rounds", reached, trees.stop, now)
+        if reached >= recall:
             return graph, reached
         trees, now = range(trees.stop, trees.stop + TREES), now + 1
 

@@ -136,6 +136,23 @@ def test_near_vectors_agree_with_all_pairs(spark):
     assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_isolated_pairs_are_found_beside_a_dense_cluster(spark, monkeypatch):
+    """One tree of many leaves: the cluster's links alone reach the recall, the pairs need more trees."""
+    monkeypatch.setattr(embedding_dedup, "TREES", 1)
+    monkeypatch.setattr(embedding_dedup, "LEAF", 2)
+    rng = np.random.default_rng(6)
+    centre, pairs = rng.standard_normal(32), rng.standard_normal((300, 32))
+    cluster = centre + rng.standard_normal((250, 32)) * 0.02
+    x = np.concatenate([pairs, pairs + rng.standard_normal((300, 32)) * 0.34, cluster])
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(table, every=1).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    alone = [i for i in range(600) if near[i].any()]
+    assert len(alone) > 300 and sum(got[i] == near[i].sum() for i in alone) >= 0.98 * len(alone)
+
+
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
