@@ -3,9 +3,10 @@
 Vectors of a label are compared by cosine. Equal vectors are one node from the start.
 The neighbour graph begins with the leaves of random-projection trees and is refined
 by joining neighbours of neighbours: every node sees the members of its list, and
-those that list it, as candidates for each other. A list whose entries all reach the
-threshold is saturated: its capacity doubles until other entries have room again, so
-no link is dropped for a full list. Rounds end when they find no further link. Then
+those that list it, as candidates for each other. Links are never dropped from a list. One
+of ``CAPACITY`` links is saturated: its capacity doubles until other entries have room
+again. A round joins at most ``JOINED`` members of a list; those that wait stay new for
+the next. Rounds end when they find no further link and no member waits. Then
 recall is audited: the vectors whose id divides by ``AUDIT_EVERY`` are compared with
 all others of their label in blocks, and more trees are added until vectors of few and
 of many links alike have enough of their links in the graph. Edges from the threshold on make links and components.
@@ -33,8 +34,10 @@ from .store import drop, keep
 
 THRESHOLD, RECALL, AUDIT_EVERY = 0.93, 0.98, 100
 #: Trees at first, vectors in a leaf, first capacity of a list, entries below the
-#: threshold that a list keeps, members of a list that one round joins.
+#: threshold that a list keeps at least, members of a list that one round joins.
 TREES, LEAF, CAPACITY, OTHERS, JOINED = 8, 96, 12, 3, 64
+#: In place of the round that found it: an entry that was joined.
+OLD = -1
 BLOCK = 256
 _log = logging.getLogger(__name__)
 
@@ -174,29 +177,46 @@ def _leaves(nodes: DataFrame, trees: range) -> DataFrame:
     return placed.join(full, ["tree", "leaf"]).select("tree", "leaf", F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("n") / BLOCK)).alias("part"), "node")
 
 
-def _merged(edges: DataFrame, threshold: float) -> DataFrame:
-    """One row per ordered pair, of the first round that found it; below the threshold only the best of each node."""
-    both = edges.select(F.inline(F.array(F.struct("u", "v", "sim", "round"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "round"))))
-    one = both.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("round").alias("round"))
-    links = one.filter(F.col("sim") >= threshold)
-    rest = one.filter(F.col("sim") < threshold)
-    rest = rest.withColumn("n", F.row_number().over(W.partitionBy("u").orderBy(F.desc("sim"), "v"))).filter(F.col("n") <= OTHERS).drop("n")
-    return keep(links.unionByName(rest), "nn-graph")
+def _room(links: Column) -> Column:
+    """Entries below the threshold that a list of so many links keeps."""
+    capacity = CAPACITY * F.pow(F.lit(2), F.ceil(F.log2((links + OTHERS) / CAPACITY)))
+    return F.when(links >= CAPACITY, F.greatest(capacity.cast("long") - links, F.lit(OTHERS))).otherwise(OTHERS)
 
 
-def _refine(graph: DataFrame, nodes: DataFrame, threshold: float, now: int) -> DataFrame:
-    """Pairs that neighbours of neighbours suggest."""
+def _mirrored(edges: DataFrame) -> DataFrame:
+    """Found pairs as entries of both lists."""
+    return edges.select(F.inline(F.array(F.struct("u", "v", "sim", "round"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "round"))))
+
+
+def _merged(entries: DataFrame, threshold: float) -> DataFrame:
+    """One row per entry v of the list of u, of the first round that found it, or joined; below the threshold only the best."""
+    one = entries.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("round").alias("round"))
+    best = W.partitionBy("u").orderBy(F.desc("sim"), "v")
+    # Links come first, so their number is known where the others begin.
+    link = (F.col("sim") >= threshold).cast("long")
+    one = one.withColumn("n", F.row_number().over(best)).withColumn("links", F.sum(link).over(best.rowsBetween(W.unboundedPreceding, 0)))
+    return keep(one.filter((F.col("sim") >= threshold) | (F.col("n") - F.col("links") <= _room(F.col("links")))).drop("n", "links"), "nn-graph")
+
+
+def _picked(graph: DataFrame, now: int) -> DataFrame:
+    """The graph with ``new`` (not joined yet) and ``picked`` (joined in this round): new entries first, in lists that have any."""
+    order = W.partitionBy("u").orderBy(F.desc("new"), F.xxhash64("u", "v", F.lit(now)))
+    ranked = graph.withColumn("new", F.col("round") > OLD).withColumn("n", F.row_number().over(order)).withColumn("fresh", F.first("new").over(order))
+    return ranked.withColumn("picked", F.col("fresh") & (F.col("n") <= JOINED)).drop("n", "fresh")
+
+
+def _refine(graph: DataFrame, nodes: DataFrame, threshold: float, now: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs that neighbours of neighbours suggest, the graph with its joined entries marked)."""
     # What a list would still take: nothing below its worst entry, unless it has room.
-    lists = graph.groupBy("u").agg(F.max((F.col("round") == now - 1).cast("int")).alias("fresh"), F.sum((F.col("sim") < threshold).cast("int")).alias("others"), F.min(F.when(F.col("sim") < threshold, F.col("sim"))).alias("least"))
-    worst = F.when(F.col("others") >= OTHERS, F.col("least")).otherwise(F.lit(-1.0))
-    active = lists.filter("fresh = 1").select(F.col("u").alias("center"))
+    lists = graph.groupBy("u").agg(F.sum((F.col("sim") >= threshold).cast("long")).alias("links"), F.sum((F.col("sim") < threshold).cast("int")).alias("others"), F.min(F.when(F.col("sim") < threshold, F.col("sim"))).alias("least"))
+    worst = F.when(F.col("others") >= _room(F.col("links")), F.col("least")).otherwise(F.lit(-1.0))
+    picked = _picked(graph, now)
     # The graph holds both directions, so a list is also all those that list the node.
-    order = W.partitionBy("center").orderBy(F.desc("new"), F.xxhash64("center", "node", F.lit(now)))
-    seen = graph.select(F.col("u").alias("center"), F.col("v").alias("node"), (F.col("round") == now - 1).alias("new")).join(active, "center")
-    seen = seen.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= JOINED).drop("n")
+    seen = picked.filter("picked").select(F.col("u").alias("center"), F.col("v").alias("node"), "new")
     member = nodes.join(lists.select(F.col("u").alias("node"), worst.alias("worst")), "node").select("node", "vector", "worst")
     shipped = seen.join(member, "node").repartition("center").sortWithinPartitions("center")
-    return shipped.select("center", "node", "new", "worst", "vector").mapInArrow(_list_join(threshold), EDGE)
+    marked = picked.select("u", "v", "sim", F.when(F.col("picked"), OLD).otherwise(F.col("round")).alias("round"))
+    return shipped.select("center", "node", "new", "worst", "vector").mapInArrow(_list_join(threshold), EDGE), marked
 
 
 def _truth(nodes: DataFrame, threshold: float, every: int) -> DataFrame:
@@ -244,15 +264,16 @@ def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD, recall: floa
     while True:
         leaves = _leaves(nodes, trees).join(nodes.select("node", "vector"), "node").repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part")
         found = leaves.select("tree", "leaf", "part", "node", "vector").mapInArrow(_leaf_join(threshold), EDGE).withColumn("round", F.lit(now))
-        graph = _merged(found if graph is None else graph.unionByName(found), threshold)
+        graph = _merged(_mirrored(found) if graph is None else graph.unionByName(_mirrored(found)), threshold)
         links = graph.filter(F.col("sim") >= threshold).count()
         while True:
             now += 1
-            more = _refine(graph, nodes, threshold, now).withColumn("round", F.lit(now))
-            old, graph = graph, _merged(graph.unionByName(more), threshold)
+            more, marked = _refine(graph, nodes, threshold, now)
+            old, graph = graph, _merged(marked.unionByName(_mirrored(more.withColumn("round", F.lit(now)))), threshold)
             drop(old)
-            before, links = links, graph.filter(F.col("sim") >= threshold).count()
-            if links == before:
+            before = links
+            links, waiting = graph.agg(F.count_if(F.col("sim") >= threshold), F.count_if((F.col("round") > OLD) & (F.col("round") < now))).first()
+            if links == before and not waiting:
                 break
         reached = audited_recall(truth, graph, threshold)
         _log.info("recall %.4f with %d trees after %d rounds", reached, trees.stop, now)

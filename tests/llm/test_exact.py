@@ -153,6 +153,27 @@ def test_isolated_pairs_are_found_beside_a_dense_cluster(spark, monkeypatch):
     assert len(alone) > 300 and sum(got[i] == near[i].sum() for i in alone) >= 0.98 * len(alone)
 
 
+def test_members_that_were_not_joined_stay_new(spark):
+    """A list longer than a round joins: every member is joined in some round, new ones before others."""
+    size = 3 * embedding_dedup.JOINED + 5
+    graph = spark.createDataFrame([(0, v, 0.95, 0) for v in range(1, size + 1)], "u long, v long, sim double, round int")
+    nodes = spark.createDataFrame([(i, 0, [1.0, i / 1000]) for i in range(size + 1)], "node long, space long, vector array<double>")
+    joined = []
+    for now in range(1, 5):
+        _, graph = embedding_dedup._refine(graph, nodes, 0.93, now)
+        graph = spark.createDataFrame(graph.collect(), graph.schema)
+        joined.append(graph.filter(F.col("round") == embedding_dedup.OLD).count())
+    assert joined == [64, 128, 192, size]
+
+
+def test_saturated_lists_keep_room_for_others(spark):
+    rows = [(0, v, 0.95 if v <= links else 0.5 - v / 1000, 0, links) for links in (3, 12, 40) for v in range(1, links + 41)]
+    for links, others in ((3, 3), (12, 12), (40, 8)):
+        graph = spark.createDataFrame([r[:4] for r in rows if r[4] == links], "u long, v long, sim double, round int")
+        kept = sorted(r["v"] for r in embedding_dedup._merged(graph, 0.93).collect())
+        assert kept == list(range(1, links + others + 1))
+
+
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
