@@ -11,8 +11,6 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 from formfold.session import build_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -41,13 +39,3 @@ def docs(spark):
         return records(raw, schema).drop("_raw", "_bad")
 
     return make
-
-
-def plan_text(df) -> str:
-    import contextlib
-    import io
-
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        df.explain("formatted")
-    return out.getvalue()

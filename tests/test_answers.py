@@ -168,7 +168,7 @@ def test_a_theme_may_list_a_criterion_by_its_parent(spark):
     from pyspark.sql import functions as F
 
     from catalog import derive
-    from conftest import SF
+    from support import SF
     from formfold.plans import answers
 
     solutions = derive.solutions(spark, SF)

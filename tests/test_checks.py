@@ -7,7 +7,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from catalog import load
 from compare import connect, differences
-from conftest import SF
+from support import SF
 
 QUERIES, CHECKS = load()
 

@@ -6,19 +6,20 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
-from conftest import SF, plan_text
+from catalog import load
+from support import SF, plan_text
 from formfold.operators import latest
 from formfold.plans.projects import project_report
 from formfold.sources import scan
 
 # writing queries start jobs of their own; their reports are covered by the others
-LAZY = sorted(n for n, fn in queries().items() if fn.__module__ != "catalog.files")
+QUERIES = load()[0]
+LAZY = sorted(n for n, fn in QUERIES.items() if fn.__module__ != "catalog.files")
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_pairwise_joins(spark, name):
-    text = plan_text(queries()[name](spark, SF))
+    text = plan_text(QUERIES[name](spark, SF))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text
 

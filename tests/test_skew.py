@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from catalog import derive
-from conftest import SF
+from support import SF
 from formfold.operators import delta, distinct_report, latest, rows_at_max, spread_join
 from formfold.plans.courses import course_progress
 
