@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, langid, line_dedup, mixing, ngram_join, packing, pii, toxicity, warc
+from . import embedding_dedup, exact_dedup, langid, line_dedup, merkle, mixing, ngram_join, packing, pii, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -107,6 +107,64 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_kept", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether its text was tampered with."""
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    found = F.when(chosen, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), tampered={"text": found})
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _hashed(*fields: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}::VARCHAR)::VARCHAR || ':' || {f}::VARCHAR, '-')" for f in fields) + ")"
+
+
+#: Each list element is one step of the remainder by bits: a byte, or 0 for its other seven bits.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+  lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295::BIGINT)"""
+
+
+def _tree(name: str, nodes: str) -> str:
+    """Levels of trees over nodes(tree, idx, h, n), and their runs."""
+    return f"""{name}(tree, lvl, idx, h, n) AS (
+      SELECT tree, 0, idx, h, n FROM {nodes}
+      UNION ALL
+      SELECT tree, lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM {name} WHERE n > 1 GROUP BY tree, lvl, idx // 3, n
+    ), {name}_runs AS (SELECT tree, lvl, idx // 3 AS run, list(h ORDER BY idx) AS hs FROM {name} WHERE n > 1 GROUP BY ALL)"""
+
+
+def _path(name: str, runs: str, start: str) -> str:
+    left, right = "array_to_string(r.hs[:p.idx % 3], '')", "array_to_string(r.hs[p.idx % 3 + 2:], '')"
+    return f"""{name}(rid, tree, lvl, idx, sib, x) AS (
+      SELECT rid, tree, 0, idx, sib, x FROM {start}
+      UNION ALL
+      SELECT p.rid, p.tree, p.lvl + 1, p.idx // 3, p.sib || {left} || {right}, sha256({left} || p.x || {right})
+      FROM {name} p JOIN {runs} r ON p.tree = r.tree AND p.lvl = r.lvl AND p.idx // 3 = r.run
+    )"""
+
+
+ORACLE["op11_merkle_manifest"] = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, source, {_hashed("doc_id", "source", "lang", "n_chars", "text")} AS h,
+         {_hashed("doc_id", "source", "lang", "n_chars", "replace(text, chr(10), '')")} AS without, {_CRC} % 2 = 0 AS chosen FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, h) AS rid, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM hashed
+), {_tree("low", "leaves")}, tops AS (
+  SELECT 0 AS tree, tree AS idx, h, count(*) OVER () AS n FROM low WHERE n = 1
+), {_tree("high", "tops")}, first AS (
+  SELECT rid, tree, idx, '' AS sib, CASE WHEN chosen THEN without ELSE h END AS x FROM leaves
+), {_path("climb", "low_runs", "first")}, second AS (
+  SELECT rid, 0 AS tree, tree AS idx, arg_max(sib, lvl) AS sib, arg_max(x, lvl) AS x FROM climb GROUP BY rid, tree
+), {_path("ascent", "high_runs", "second")}, proofs AS (
+  SELECT rid, arg_max(sib, lvl) AS sib, arg_max(x, lvl) AS x FROM ascent GROUP BY rid
+)
+SELECT l.doc_id, l.h AS leaf, t.h AS subroot, w.h AS root, sha256(p.sib) AS proof_sha256, p.x AS folded_root, p.x = w.h AS verified
+FROM leaves l JOIN tops t ON l.tree = t.idx JOIN proofs p ON l.rid = p.rid, (SELECT h FROM high WHERE n = 1) w
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from end to end."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 
@@ -71,3 +72,44 @@ def fuzzy_lines(docs: list[tuple], n=8, threshold=0.8):
             cleaned = "\n".join(x for j, x in enumerate(lines) if j in kept or j not in full) if kept else ""
         out.append((doc_id, cleaned, len(full), len(kept)))
     return out
+
+
+def digest(*texts):
+    return hashlib.sha256("".join(texts).encode()).hexdigest()
+
+
+def _tree(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([digest(*levels[-1][i : i + 3]) for i in range(0, len(levels[-1]), 3)])
+    return levels
+
+
+def _climb(levels, at, found):
+    siblings = []
+    for nodes in levels[:-1]:
+        run = nodes[at - at % 3 : at - at % 3 + 3]
+        siblings += run[: at % 3] + run[at % 3 + 1 :]
+        found = digest(*run[: at % 3], found, *run[at % 3 + 1 :])
+        at //= 3
+    return siblings, found
+
+
+def manifest(rows, tamper):
+    """Of rows (doc_id, source, lang, n_chars, text): [(doc_id, leaf, subroot, root, proof, folded root, verified)]."""
+    leaf = lambda r: digest(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in r])
+    groups: dict = {}
+    for r in rows:
+        groups.setdefault(r[1], []).append(r)
+    sources = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    for s in sources:
+        groups[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    trees = {s: _tree([leaf(r) for r in groups[s]]) for s in sources}
+    top = _tree([trees[s][-1][0] for s in sources]) if sources else []
+    out = []
+    for k, s in enumerate(sources):
+        for i, r in enumerate(groups[s]):
+            low, x = _climb(trees[s], i, leaf((*r[:4], tamper(r))))
+            high, x = _climb(top, k, x)
+            out.append((r[0], leaf(r), trees[s][-1][0], top[-1][0], digest(*low, *high), x, x == top[-1][0]))
+    return out
