@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, langid, line_dedup, merkle, mixing, ngram_join, packing, pii, toxicity, warc
+from . import collocations, curve_packing, embedding_dedup, exact_dedup, langid, line_dedup, merkle, mixing, ngram_join, packing, pii, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -165,6 +165,53 @@ FROM leaves l JOIN tops t ON l.tree = t.idx JOIN proofs p ON l.rid = p.rid, (SEL
 """
 
 
+@query
+def op12_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences along a Hilbert curve."""
+    pieces = curve_packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two and three words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), lists AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces
+), grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase FROM lists, (SELECT unnest([1, 2, 3]) AS m)
+), f AS (
+  SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL
+), size AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+), cand AS (
+  SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND a >= 10
+), cut AS (
+  SELECT *, unnest(range(1, m)) AS k FROM cand
+), sides AS (
+  SELECT *, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail FROM cut
+), cuts AS (
+  SELECT c.lang, c.m, c.phrase, c.a, c.k, l.a AS l, r.a AS r, (1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a) AS score
+  FROM sides c JOIN f l ON l.lang = c.lang AND l.phrase = c.head JOIN f r ON r.lang = c.lang AND r.phrase = c.tail
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM cand WHERE m = 3) GROUP BY ALL
+), alone AS (
+  SELECT w.* FROM weakest w LEFT JOIN inside i ON w.lang = i.lang AND w.phrase = i.phrase WHERE i.longer IS NULL OR 100 * i.longer < 50 * w.a
+)
+SELECT a.lang, row_number() OVER (PARTITION BY a.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM alone a JOIN size s ON a.lang = s.lang
+QUALIFY rank <= 2000
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from end to end."""
