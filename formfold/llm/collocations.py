@@ -2,63 +2,193 @@
 
 A text is lower-cased (A to Z), cut into pieces at marks and line ends, and pieces into words.
 Every word is the lead of one window: itself and the words that follow it in its piece, as many as
-the longest phrase has, padded with nulls behind the end. Only these windows are counted.
+the longest phrase has, padded behind the end. Only these windows are counted.
 How often a shorter phrase occurs is the sum over all windows that begin with it, so one ROLLUP over
-the words of the windows gives phrases of every length, words and the number of all words; no other
+the words of the windows gives phrases of every shorter length, words and the number of all words; no other
 n-grams are ever made.
 
-Leads are taken inside the row: a window function would sort and shuffle every word. Windows
-are counted in each task before the shuffle, so a text with a million copies travels once per task.
+Leads are taken where the words lie: a window function would sort and shuffle every word. A task turns
+about ``CHUNK`` bytes of text at a time into one row: the chunk's own dictionary and its windows, counted, as
+numbers of that dictionary. The dictionaries are summed to the vocabulary of words that
+occur ``least`` times; it numbers words, and chunks get their numbers back by a join on
+the word, so no task needs the whole vocabulary. Rarer words share one number: a phrase that holds
+one is rarer still, and the sums over its windows stay exact. Then windows are shuffled, as numbers.
 
 Counts are exact. Scores are quotients of products of counts below 10^14, as decimals.
 
 Edge cases: a null text counts as empty; a null language is one of its own, ``und`` (shared with
 a language of that name). Repeated rows count as often as they stand there. Texts of any length are
-read whole. Empty tables give no rows. Other columns are ignored, whatever their names.
+read whole, long ones in several chunks cut at marks. Empty tables give no rows. Other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .store import keep
+from .merkle import numbered
+from .store import keep, keep_numbered
 
 #: Where pieces end, and what stands between words.
-MARKS, BLANKS = r"[.,;:!?\x0A-\x0D]", r"[\x20\x09]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+MARKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
+UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 UND = "und"
 COUNT, SCALE = "decimal(14,0)", 1_000_000
+CHUNK, BATCH_ROWS = 4 << 20, 1 << 17
+#: Numbers that are no word: behind the end of a piece, and any word too rare for a phrase.
+PAD, RARE, FIRST = 0, 1, 2
+
+_LOWER = bytes.maketrans(UPPER, LOWER)
+_KIND = bytes(2 if b in MARKS else 1 if b in BLANKS else 0 for b in range(256))
+_MARK = re.compile(b"[" + re.escape(MARKS) + b"]")
+
+
+def slices(data: bytes, size: int = CHUNK) -> Iterator[bytes]:
+    """A text in slices of ``size`` bytes or more, cut at marks, where no phrase reaches across."""
+    start = 0
+    while len(data) - start > size:
+        mark = _MARK.search(data, start + size)
+        if not mark:
+            break
+        yield data[start : mark.start()]
+        start = mark.end()
+    yield data[start:]
+
+
+def count_rows(columns: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of small non-negative numbers, and how often each occurs."""
+    key, used = np.zeros(len(columns[0]), np.int64), 0
+    for c in columns:
+        width = int(c.max(initial=0)).bit_length()
+        if used + width > 62:
+            kinds, key = np.unique(key, return_inverse=True)
+            used = len(kinds).bit_length()
+        key, used = (key << width) | c, used + width
+    _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+    total = np.bincount(inverse, weights=counts, minlength=len(first)).astype(np.int64)
+    return [c[first] for c in columns], total
+
+
+def chunk_windows(texts: list[bytes], langs: list[str], longest: int) -> tuple[list[str], list[str], np.ndarray, list[np.ndarray], np.ndarray]:
+    """(languages, words, occurrences, windows, counts) of texts.
+
+    The first three describe the dictionary, an entry per word of each language; windows are columns of
+    its places plus ``FIRST``, ``PAD`` behind the end of a piece.
+    """
+    data = b"\n".join(texts)
+    low, kind = np.frombuffer(data.translate(_LOWER), np.uint8), np.frombuffer(data.translate(_KIND), np.uint8)
+    inside = kind == 0
+    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(low[inside]))
+    spelled = pc.dictionary_encode(words)
+    begins = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
+    names, of = np.unique(np.array(langs, object), return_inverse=True)
+    lang = of[np.searchsorted(begins, starts, side="right") - 1]
+    entries, place, n = np.unique(spelled.indices.to_numpy().astype(np.int64) * len(names) + lang, return_inverse=True, return_counts=True)
+    piece = np.cumsum(kind == 2, dtype=np.int64)[starts]
+    columns = [place + FIRST]
+    for k in range(1, longest):
+        behind = np.full(len(place), PAD, np.int64)
+        if len(place) > k:
+            behind[:-k] = np.where(piece[k:] == piece[:-k], place[k:] + FIRST, PAD)
+        columns.append(behind)
+    windows, counts = count_rows(columns)
+    return names[entries % len(names)].tolist(), spelled.dictionary.take(pa.array(entries // len(names))).to_pylist(), n, windows, counts
+
+
+def _chunks(longest: int) -> callable:
+    def row(texts: list[bytes], langs: list[str]) -> pa.RecordBatch:
+        names, words, n, windows, counts = chunk_windows(texts, langs, longest)
+        entries = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())], ["lang", "word", "n"])
+        entries = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), entries)
+        blob = lambda a: pa.array([a.astype("<i4").tobytes()], pa.binary())
+        return pa.RecordBatch.from_arrays([entries, *[blob(w) for w in windows], blob(counts)], names=["entries", *[f"w{k + 1}" for k in range(longest)], "f"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, langs, size = [], [], 0
+        for batch in batches:
+            for text, lang in zip(batch["text"], batch["lang"], strict=True):
+                for part in slices((text.as_py() or "").encode()):
+                    texts.append(part)
+                    langs.append(lang.as_py())
+                    size += len(part)
+                    if size >= CHUNK:
+                        yield row(texts, langs)
+                        texts, langs, size = [], [], 0
+        if size:
+            yield row(texts, langs)
+
+    return run
+
+
+def _renumber(longest: int) -> callable:
+    """Windows of chunks in numbers of the vocabulary, as rows; behind a rare word nothing counts any more."""
+    names = [f"w{k + 1}" for k in range(longest)]
 
-
-def windows(text: Column, longest: int) -> Column:
-    """Array of the windows of a text: structs w1, w2, ... of a word and those behind it, null behind the piece's end."""
-    pieces = F.split(F.translate(text, UPPER, LOWER), MARKS)
-
-    def leads(piece: Column) -> Column:
-        words = F.filter(F.split(piece, BLANKS), lambda w: w != "")
-        return F.arrays_zip(*[F.slice(words, k + 1, F.size(words)).alias(f"w{k + 1}") for k in range(longest)])
-
-    # arrays_zip names its fields by place; the cast gives the names.
-    shape = "array<struct<" + ",".join(f"w{k + 1}:string" for k in range(longest)) + ">>"
-    return F.flatten(F.transform(pieces, leads)).cast(shape)
-
-
-def phrase_counts(docs: DataFrame, longest: int, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, w1, ..., words, f): how often each phrase of ``words`` words occurs; 0 words: all words of the language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                langs = batch["langs"][i].values
+                numbers = np.full(len(langs) + FIRST, RARE, np.int64)
+                numbers[PAD] = PAD
+                known = batch["known"][i]
+                if known.is_valid:
+                    numbers[known.values.field("pos").to_numpy() + FIRST] = known.values.field("id").to_numpy()
+                kinds = pc.dictionary_encode(langs)
+                lang = np.concatenate([np.zeros(FIRST, np.int64), kinds.indices.to_numpy()])
+                local = [np.frombuffer(batch[n][i].as_py(), "<i4") for n in names]
+                columns, gone = [], np.zeros(len(local[0]), bool)
+                for c in local:
+                    columns.append(np.where(gone, PAD, numbers[c]))
+                    gone |= columns[-1] == RARE
+                found, f = count_rows([lang[local[0]], *columns], np.frombuffer(batch["f"][i].as_py(), "<i4"))
+                spelled = kinds.dictionary.cast(pa.string()).take(pa.array(found[0]))
+                whole = pa.RecordBatch.from_arrays([spelled, *[pa.array(c) for c in found[1:]], pa.array(f)], names=["lang", *names, "f"])
+                for at in range(0, len(whole), BATCH_ROWS):
+                    yield whole.slice(at, BATCH_ROWS)
+
+    return run
+
+
+def phrase_counts(docs: DataFrame, longest: int, least: int, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, w1, ..., words, f) of each phrase of ``words`` words that occurs ``least`` times; 0 words: all words of the language."""
     names = [f"w{k + 1}" for k in range(longest)]
-    language = F.coalesce(F.col(lang).cast("string"), F.lit(UND))
-    leads = docs.select(language.alias("lang"), F.inline(windows(F.coalesce(F.col(text), F.lit("")), longest)))
-    counted = keep(leads.groupBy("lang", *names).agg(F.count("*").alias("f")), "phrase-windows")
-    # A null in a window is padding, a null made by ROLLUP a word summed over: told apart by the grouping.
-    total = counted.rollup("lang", *names).agg(F.sum("f").alias("f"), F.grouping_id().alias("level"))
-    words = longest - reduce(lambda a, b: a + b, [(F.shiftright("level", k).bitwiseAND(1)).cast("int") for k in range(longest)])
-    last = F.coalesce(*[F.when(F.col("words") == k + 1, F.col(n)) for k, n in enumerate(names)])
-    total = total.filter(F.shiftright("level", longest) == 0).withColumn("words", words)
-    return total.filter((F.col("words") == 0) | last.isNotNull()).select("lang", *names, "words", "f")
+    rows = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit(UND)).alias("lang"))
+    blobs = ", ".join(f"{n} binary" for n in names)
+    chunks = keep_numbered(rows.mapInArrow(_chunks(longest), f"entries array<struct<lang:string,word:string,n:long>>, {blobs}, f binary"), "phrase_chunks")
+
+    # The dictionaries of all chunks make the vocabulary, and get its numbers back.
+    entries = chunks.select("part", "row", F.posexplode("entries").alias("pos", "e")).select("part", "row", "pos", "e.*")
+    words = entries.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    words = keep(numbered(words.select("lang", "word"), "phrase-order", "lang", "word").withColumn("id", F.col("number") + FIRST).drop("number"), "phrase-words")
+    known = entries.join(words, ["lang", "word"]).groupBy("part", "row").agg(F.collect_list(F.struct("pos", "id")).alias("known"))
+    wide = chunks.join(known, ["part", "row"], "left").select(F.col("entries.lang").alias("langs"), "known", *names, "f")
+    leads = wide.mapInArrow(_renumber(longest), "lang string, " + ", ".join(f"{n} long" for n in names) + ", f long")
+    counted = keep(leads.groupBy("lang", *names).agg(F.sum("f").alias("f")), "phrase-windows")
+
+    # Whole windows are the longest phrases; shorter ones are sums over the words behind them.
+    shorter = counted.rollup("lang", *names[:-1]).agg(F.sum("f").alias("f"), F.grouping_id().alias("level"))
+    missing = reduce(lambda a, b: a + b, [(F.shiftright("level", k).bitwiseAND(1)).cast("int") for k in range(longest - 1)])
+    shorter = shorter.filter(F.shiftright("level", longest - 1) == 0).withColumn("words", longest - 1 - missing)
+    shorter = shorter.select("lang", *names[:-1], F.lit(None).cast("long").alias(names[-1]), "words", "f")
+    found = shorter.union(counted.select("lang", *names, F.lit(longest).alias("words"), "f"))
+    whole = [F.coalesce(F.col(n) >= FIRST, F.lit(True)) for n in names]
+    found = found.filter((F.col("words") == 0) | ((F.col("f") >= least) & reduce(lambda a, b: a & b, whole)))
+    found = keep(found, "phrase-numbers")
+    for n in names:
+        found = found.withColumnRenamed(n, "id").join(words.select("id", F.col("word").alias(n)), "id", "left").drop("id")
+    return found.select("lang", *names, "words", "f")
 
 
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, within: int = 50, top: int = 2000, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -68,10 +198,10 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, within: int
     a longer one that holds it occurs at least ``within`` percent as often.
     """
     names = [f"w{k + 1}" for k in range(longest)]
-    counts = keep(phrase_counts(docs, longest, text, lang), "phrase-counts")
+    counts = keep(phrase_counts(docs, longest, least, text, lang), "phrase-counts")
     spell = lambda cols: F.concat_ws(" ", *cols)
     known = counts.filter("words > 0").select("lang", spell(names).alias("part"), F.col("f").alias("f_part"))
-    found = counts.filter((F.col("words") > 1) & (F.col("f") >= least))
+    found = counts.filter("words > 1")
     found = keep(found.select("lang", *names, "words", spell(names).alias("phrase"), F.col("f").alias("a")), "phrase-candidates")
 
     # Every part of a candidate: what it begins with, what it ends with, and what it holds in between.

@@ -77,7 +77,29 @@ def test_quotients_of_large_counts_are_exact(spark):
     assert spark.range(1).select(score).first()[0] == 10**6 * a * a // (left * right)
 
 
-def test_only_longest_windows_are_made(spark):
-    df = spark.createDataFrame([(1, "a b c. d", "en")], SCHEMA)
-    rows = df.select(F.inline(co.windows(F.col("text"), 3))).collect()
-    assert [tuple(r) for r in rows] == [("a", "b", "c"), ("b", "c", None), ("c", None, None), ("d", None, None)]
+def test_only_longest_windows_are_made():
+    langs, words, n, columns, counts = co.chunk_windows([b"a b C. d", b"a b c", b""], ["en", "de", "en"], 3)
+    spell = lambda i: None if i == co.PAD else words[i - co.FIRST]
+    rows = sorted((langs[w[0] - co.FIRST], [spell(i) for i in w], f) for *w, f in zip(*columns, counts, strict=True))
+    one = [["a", "b", "c"], ["b", "c", None], ["c", None, None]]
+    assert rows == [("de", w, 1) for w in one] + [("en", w, 1) for w in [*one, ["d", None, None]]]
+    assert sorted(zip(langs, words, n, strict=True)) == [("de", w, 1) for w in "abc"] + [("en", w, 1) for w in "abcd"]
+
+
+def test_long_texts_are_cut_at_marks(spark, monkeypatch):
+    text = texts(7, 1)[0][1] + " long line without a mark" * 9 + ". " + texts(8, 1)[0][1]
+    for size in (1, 10, 100):
+        parts = list(co.slices(text.encode(), size))
+        assert b"".join(re.sub(rb"[.,;:!?\n-\r]", b"", p) for p in parts) == re.sub(rb"[.,;:!?\n-\r]", b"", text.encode())
+    docs = texts(9, 30)
+    assert sum(map(len, co.slices(docs[0][1].encode(), 5))) <= len(docs[0][1].encode())
+
+
+def test_rows_are_counted_whatever_their_width():
+    import numpy as np
+
+    rnd = np.random.default_rng(2)
+    columns = [rnd.integers(0, 3, 500) * (1 << 40) for _ in range(4)]
+    found, total = co.count_rows(columns)
+    want = Counter(zip(*[c.tolist() for c in columns], strict=True))
+    assert dict(zip(zip(*[c.tolist() for c in found], strict=True), total.tolist(), strict=True)) == want
