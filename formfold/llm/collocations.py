@@ -31,6 +31,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ MARKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 UND = "und"
 COUNT, SCALE = "decimal(14,0)", 1_000_000
-CHUNK, BATCH_ROWS = 4 << 20, 1 << 17
+CHUNK, BATCH_ROWS = 2 << 20, 1 << 16
 #: Numbers that are no word: behind the end of a piece, and any word too rare for a phrase.
 PAD, RARE, FIRST = 0, 1, 2
 
@@ -107,12 +108,21 @@ def chunk_windows(texts: list[bytes], langs: list[str], longest: int) -> tuple[l
     return names[entries % len(names)].tolist(), spelled.dictionary.take(pa.array(entries // len(names))).to_pylist(), n, windows, counts
 
 
+def squeezed(a: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: windows are sorted, so their columns shrink to a fraction."""
+    return zstandard.compress(a.astype("<i4").tobytes())
+
+
+def spread_out(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), "<i4")
+
+
 def _chunks(longest: int) -> callable:
     def row(texts: list[bytes], langs: list[str]) -> pa.RecordBatch:
         names, words, n, windows, counts = chunk_windows(texts, langs, longest)
         entries = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())], ["lang", "word", "n"])
         entries = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), entries)
-        blob = lambda a: pa.array([a.astype("<i4").tobytes()], pa.binary())
+        blob = lambda a: pa.array([squeezed(a)], pa.binary())
         return pa.RecordBatch.from_arrays([entries, *[blob(w) for w in windows], blob(counts)], names=["entries", *[f"w{k + 1}" for k in range(longest)], "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,12 +157,12 @@ def _renumber(longest: int) -> callable:
                     numbers[known.values.field("pos").to_numpy() + FIRST] = known.values.field("id").to_numpy()
                 kinds = pc.dictionary_encode(langs)
                 lang = np.concatenate([np.zeros(FIRST, np.int64), kinds.indices.to_numpy()])
-                local = [np.frombuffer(batch[n][i].as_py(), "<i4") for n in names]
+                local = [spread_out(batch[n][i].as_py()) for n in names]
                 columns, gone = [], np.zeros(len(local[0]), bool)
                 for c in local:
                     columns.append(np.where(gone, PAD, numbers[c]))
                     gone |= columns[-1] == RARE
-                found, f = count_rows([lang[local[0]], *columns], np.frombuffer(batch["f"][i].as_py(), "<i4"))
+                found, f = count_rows([lang[local[0]], *columns], spread_out(batch["f"][i].as_py()))
                 spelled = kinds.dictionary.cast(pa.string()).take(pa.array(found[0]))
                 whole = pa.RecordBatch.from_arrays([spelled, *[pa.array(c) for c in found[1:]], pa.array(f)], names=["lang", *names, "f"])
                 for at in range(0, len(whole), BATCH_ROWS):
