@@ -37,14 +37,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .merkle import numbered
-from .store import keep, keep_numbered
+from .store import drop, keep, keep_numbered
 
 #: Where pieces end, and what stands between words.
 MARKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 UND = "und"
 COUNT, SCALE = "decimal(14,0)", 1_000_000
-CHUNK, BATCH_ROWS = 2 << 20, 1 << 16
+CHUNK, BATCH_ROWS = 6 << 20, 1 << 16
 #: Numbers that are no word: behind the end of a piece, and any word too rare for a phrase.
 PAD, RARE, FIRST = 0, 1, 2
 
@@ -97,7 +97,7 @@ def chunk_windows(texts: list[bytes], langs: list[str], longest: int) -> tuple[l
     names, of = np.unique(np.array(langs, object), return_inverse=True)
     lang = of[np.searchsorted(begins, starts, side="right") - 1]
     entries, place, n = np.unique(spelled.indices.to_numpy().astype(np.int64) * len(names) + lang, return_inverse=True, return_counts=True)
-    piece = np.cumsum(kind == 2, dtype=np.int64)[starts]
+    piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
     columns = [place + FIRST]
     for k in range(1, longest):
         behind = np.full(len(place), PAD, np.int64)
@@ -186,6 +186,7 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, text: str = "text",
     wide = chunks.join(known, ["part", "row"], "left").select(F.col("entries.lang").alias("langs"), "known", *names, "f")
     leads = wide.mapInArrow(_renumber(longest), "lang string, " + ", ".join(f"{n} long" for n in names) + ", f long")
     counted = keep(leads.groupBy("lang", *names).agg(F.sum("f").alias("f")), "phrase-windows")
+    drop(chunks)
 
     # Whole windows are the longest phrases; shorter ones are sums over the words behind them.
     shorter = counted.rollup("lang", *names[:-1]).agg(F.sum("f").alias("f"), F.grouping_id().alias("level"))
