@@ -10,6 +10,7 @@ from formfold.operators import (
     answer_types,
     contains,
     dated_only,
+    explode_rows,
     matches,
     metric_slots,
     project,
@@ -322,3 +323,26 @@ def option_labels(spark: SparkSession, sf: str) -> DataFrame:
     free = rows.select("o_orderkey", F.inline(free_answer(F.col("free"), F.col("labels"))))
     return picked.unionByName(free).select(
         "o_orderkey", F.col("questionAnswer").alias("answer"), "label")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, concat(l_returnflag, CASE WHEN l_linestatus <> l_returnflag THEN concat(',', l_linestatus)
+        ELSE '' END, ',', 'n', l_linenumber) AS seen FROM lineitem"""
+)
+def ordered_distinct_list(spark: SparkSession, sf: str) -> DataFrame:
+    """A list without its repeats, in the order of first occurrence."""
+    number = F.concat(F.lit("n"), "l_linenumber")
+    values = F.array("l_returnflag", "l_linestatus", "l_returnflag", number, "l_linestatus", number)
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.concat_ws(",", fn.distinct_list(values)).alias("seen"))
+
+
+@query(
+    """SELECT o_orderkey, unnest(string_split(o_orderpriority, '-')) AS part FROM orders WHERE o_orderkey % 3 > 0
+    UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 3 = 0"""
+)
+def explode_keeping_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per element; rows whose list is empty or missing stay."""
+    orders = table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "CASE o_orderkey % 3 WHEN 0 THEN if(o_orderkey % 2 = 0, null, array()) ELSE split(o_orderpriority, '-') END AS parts")
+    return explode_rows(orders, "parts", "part").select("o_orderkey", "part")

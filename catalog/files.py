@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formfold import schemas
-from formfold.operators import keep_known, new_rows
+from formfold.operators import keep_known, missing_columns, new_rows, union_all, with_missing
 from formfold.plans import answers, evidence
+from formfold.plans.bad_answers import split_answers
 from formfold.sinks import append_rows, publish, split_write, write_csv, write_json
 from formfold.sources import params, read_csv, read_docs, read_json, read_stream, records, unwrap
-from formfold.streaming import batch_sink, drain, run_stream, split_bad
+from formfold.streaming import batch_sink, drain, record_sink, run_stream, split_bad
 from formfold.workspace import shared_folder
 
 from . import derive
@@ -202,3 +203,86 @@ def stream_rows_by_key(spark: SparkSession, sf: str) -> DataFrame:
         sink = batch_sink(f"{folder}/rows", once=True, keys=["event_id"])
         run_stream(stream, lambda s: s, sink, f"{folder}/{attempt}").awaitTermination()
     return spark.read.parquet(f"{folder}/rows").drop("batch")
+
+
+# Of ten kinds of answers, five are wrong in some way; one is a matrix with good and bad ones inside.
+_ANSWER = """concat('{"qid":"q', l_linenumber, '","responseType":"number","value":1,"maxScore":', l_quantity, '}')"""
+_ANSWERS = f"""parse_json(CASE (l_orderkey + l_linenumber) % 10
+    WHEN 0 THEN replace({_ANSWER}, concat('"maxScore":', l_quantity), '"maxScore":"much"')
+    WHEN 1 THEN '{{"responseType":"text","value":"x"}}'
+    WHEN 2 THEN concat('{{"qid":"q', l_linenumber, '","responseType":"matrix","value":[[',
+        '{{"qid":"a","responseType":"text","payload":7}},{{"qid":"b","responseType":"text","value":"y"}}],',
+        '{{"k":{{"responseType":"text"}}}}]}}')
+    WHEN 3 THEN concat('{{"qid":"q', l_linenumber, '","responseType":"matrix","value":"none"}}')
+    WHEN 4 THEN '5'
+    ELSE {_ANSWER} END)"""
+
+
+def answer_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as records of JSON bytes, their lines as answers; an order has a few lines at most."""
+    lines = table(spark, sf, "lineitem").selectExpr("l_orderkey", f"{_ANSWERS} AS answer")
+    named = F.transform(F.collect_list("answer"), lambda a, i: F.struct(F.concat(F.lit("a"), i), a))
+    found = lines.groupBy(F.concat(F.lit("o"), "l_orderkey").alias("_id")).agg(F.map_from_entries(named).alias("answers"))
+    return derive.records(found)
+
+
+def _split_rows(records_of: DataFrame) -> tuple[DataFrame, DataFrame]:
+    readable, _ = split_bad(records(records_of, schemas.open_answers(f"_id string, answers map<string,{schemas.ANSWER}>")))
+    good, bad = split_answers(readable)
+    good = answers.explode_answers(good).select(
+        F.col("_id").alias("record_id"), F.col("a_qid").alias("question_id"), "instance_id",
+        F.lit(None).cast("string").alias("reason"), F.col("a_maxScore").alias("max_score"))
+    bad = bad.select("record_id", "question_id", "instance_id", "reason", F.lit(None).cast("double").alias("max_score"))
+    return good, bad
+
+
+BAD_ANSWERS_SQL = """WITH l AS (SELECT concat('o', l_orderkey) AS record_id, concat('q', l_linenumber) AS q, l_quantity::DOUBLE AS n,
+        (l_orderkey + l_linenumber) % 10 AS kind FROM lineitem)
+    SELECT record_id, CASE WHEN kind NOT IN (1, 4) THEN q END AS question_id, NULL::INT AS instance_id,
+        CASE kind WHEN 0 THEN 'wrong type: maxScore' WHEN 1 THEN 'no question id' WHEN 3 THEN 'wrong type: value'
+            WHEN 4 THEN 'no object' END AS reason,
+        CASE WHEN kind > 4 THEN n END AS max_score FROM l WHERE kind <> 2
+    UNION ALL
+    SELECT record_id, i.question_id, i.instance_id, i.reason, NULL FROM l, (VALUES ('a', 1, 'wrong type: payload'),
+        ('b', 1, NULL), (NULL, 2, 'no question id')) i(question_id, instance_id, reason) WHERE kind = 2"""
+
+
+@query(BAD_ANSWERS_SQL)
+def bad_answers_apart(spark: SparkSession, sf: str) -> DataFrame:
+    """Good answers as rows, bad ones with their record, question and reason; the others of a record stay."""
+    good, bad = _split_rows(answer_records(spark, sf))
+    return good.unionByName(bad)
+
+
+@query(BAD_ANSWERS_SQL)
+def stream_bad_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a stream: rows of good answers, and a side output of bad ones."""
+    folder = shared_folder(spark, "bad-answers")
+    answer_records(spark, sf).write.parquet(f"{folder}/topic")
+    stream = read_stream(spark, "parquet", f"{folder}/topic", "value binary")
+    parts = [drain(spark, stream, lambda s, i=i: _split_rows(s)[i], f"{folder}/{i}") for i in range(2)]
+    return parts[0].unionByName(parts[1])
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def stream_record_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows sent as JSON texts, one per record, and read back."""
+    folder = shared_folder(spark, "sent")
+    sink = record_sink("text", f"{folder}/records", once=True)
+    report = lambda s: s.select("event_id", "user_id", "event_type", "value")
+    stream = table_stream(spark, sf, "events")
+    run_stream(stream, report, sink, f"{folder}/checkpoint").awaitTermination()
+    return read_json(spark, f"{folder}/records", report(stream).schema.simpleString()[7:-1].replace(",", ", ").replace(":", " "))
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, o_orderstatus, 'known' AS side FROM orders
+    UNION ALL SELECT o_orderkey, o_custkey, NULL, 'new' FROM orders"""
+)
+def align_missing_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """A frame that lacks columns of another gets them as typed nulls, then both are one."""
+    whole = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.lit("known").alias("side"))
+    part = whole.drop("o_orderstatus").withColumn("side", F.lit("new"))
+    kinds = dict(whole.dtypes)
+    part = with_missing(part, {c: kinds[c] for c in missing_columns(whole, part)})
+    return union_all(whole, part.select(*whole.columns))
