@@ -9,13 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formfold import schemas
-from formfold.operators import keep_known, missing_columns, new_rows, union_all, with_missing
-from formfold.plans import answers, evidence
+from formfold.operators import (
+    bitmap_counts,
+    bitmap_table,
+    extend_dictionary,
+    keep_known,
+    merge_bitmaps,
+    missing_columns,
+    new_rows,
+    union_all,
+    with_missing,
+)
+from formfold.plans import answers, evidence, metrics
 from formfold.plans.bad_answers import split_answers
-from formfold.sinks import append_rows, publish, split_write, write_csv, write_json
+from formfold.sinks import append_rows, publish, read_rollup, split_write, write_csv, write_json, write_rollup
 from formfold.sources import params, read_csv, read_docs, read_json, read_stream, records, unwrap
 from formfold.streaming import batch_sink, drain, record_sink, run_stream, split_bad
-from formfold.workspace import shared_folder
+from formfold.workspace import materialize, shared_folder
 
 from . import derive
 from .documents import (
@@ -25,7 +35,8 @@ from .documents import (
     evidence_view,
     observation_view,
 )
-from .registry import query, table, table_stream
+from .metrics import DAILY, DAY
+from .registry import CHECKS, query, table, table_stream
 
 
 @query(
@@ -286,3 +297,42 @@ def align_missing_columns(spark: SparkSession, sf: str) -> DataFrame:
     kinds = dict(whole.dtypes)
     part = with_missing(part, {c: kinds[c] for c in missing_columns(whole, part)})
     return union_all(whole, part.select(*whole.columns))
+
+
+@query(CHECKS["rollup_merge"])
+def rollup_by_folders(spark: SparkSession, sf: str) -> DataFrame:
+    """The rollup merge by date folders: two periods written one after the other."""
+    daily = metrics.time_metrics(table(spark, sf, "events"), {**DAILY, "labels": {}}).select("date", "clicks")
+    path = shared_folder(spark, "rollup")
+    merge = {"rollup": 1, "rollupAge": "DAY", "rollupRange": 14, "rollupCol": "date"}
+    write_rollup(daily.filter("date < '2024-01-20'").withColumn("clicks", F.col("clicks") - 1), path, merge)
+    write_rollup(daily.filter("date >= '2024-01-15'"), path, merge)
+    return read_rollup(spark, path, daily.schema).withColumn("date", F.date_format("date", DAY))
+
+
+@query(
+    """SELECT 'day' AS grain, strftime(ts, '%Y-%m-%d') AS period, event_type, count(DISTINCT user_id) AS users FROM events GROUP BY ALL
+    UNION ALL SELECT 'month', strftime(ts, '%Y-%m'), event_type, count(DISTINCT user_id) FROM events GROUP BY ALL
+    UNION ALL SELECT 'month of all', strftime(ts, '%Y-%m'), NULL, count(DISTINCT user_id) FROM events GROUP BY ALL
+    UNION ALL SELECT 'all', NULL, event_type, count(DISTINCT user_id) FROM events GROUP BY ALL"""
+)
+def distinct_counts_from_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily, monthly and overall distinct users from one bitmap table, filled by two periods."""
+    events = table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    dims, periods, ids = ["day", "event_type"], [], None
+    for condition in ("ts < '2024-01-16'", "ts >= '2024-01-16'"):
+        period = events.filter(condition)
+        ids = extend_dictionary(period, "user_id", ids)
+        periods.append(materialize(bitmap_table(period, dims, "user_id", ids), "bitmaps"))
+    days = union_all(*periods)
+    month, none = F.substring("day", 1, 7), F.lit(None).cast("string")
+    months = materialize(merge_bitmaps(days, [month.alias("month"), "event_type"]), "bitmaps")
+    columns = lambda grain, period, kind: [F.lit(grain).alias("grain"), period.alias("period"), kind.alias("event_type"), F.col("n").alias("users")]
+    kind = F.col("event_type")
+    parts = [
+        bitmap_counts(days, dims).select(*columns("day", F.col("day"), kind)),
+        bitmap_counts(months, ["month", "event_type"]).select(*columns("month", F.col("month"), kind)),
+        bitmap_counts(months, ["month"]).select(*columns("month of all", F.col("month"), none)),
+        bitmap_counts(months, ["event_type"]).select(*columns("all", none, kind)),
+    ]
+    return union_all(union_all(parts[0], parts[1]), union_all(parts[2], parts[3]))

@@ -1,6 +1,7 @@
 """DataFrame operators: every function takes and returns DataFrames."""
 
 from .aggregates import *  # noqa: F401,F403
+from .bitmaps import *  # noqa: F401,F403
 from .filters import *  # noqa: F401,F403
 from .joins import *  # noqa: F401,F403
 from .project import *  # noqa: F401,F403

@@ -7,8 +7,9 @@ A caller's own broadcast mark survives the projections made here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 __all__ = [
     "LEVELS",
@@ -23,12 +24,16 @@ __all__ = [
     "natural",
     "new_rows",
     "outer",
+    "spread_nulls",
     "with_name",
 ]
 
 # Location levels from the widest to the narrowest.
 LEVELS = ["state", "district", "block", "cluster", "school"]
 
+#: Over how many keys rows without a key are spread.
+NULL_KEYS = 4096
+
 
 def with_name(
     df: DataFrame, dim: DataFrame, key: str, alias: str, dim_key: str = "_id", name: str = "name"
@@ -81,6 +86,15 @@ def entity_keys(entities: DataFrame) -> DataFrame:
     )
 
 
+def spread_nulls(key: Column, by: Column) -> Column:
+    """A text key for a left join: nulls become keys that nothing has, spread by another value of the row.
+
+    Rows without a key would all go to one task of a shuffled join, though none finds a partner.
+    """
+    nothing = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(by), F.lit(NULL_KEYS)).cast("string"))
+    return F.coalesce(key.cast("string"), nothing)
+
+
 def hierarchy(
     df: DataFrame,
     keys: DataFrame,
@@ -91,16 +105,21 @@ def hierarchy(
     """Add ``<level>_name`` and ``<level>_id`` for each ``<level>_externalId``.
 
     ``keys`` comes from :func:`entity_keys`. Levels in ``require`` drop the rows
-    that have no match.
+    that have no match. Rows without a key are spread by their other values.
     """
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))]
     for level in levels:
         on = level + key_suffix
         dim = keys.filter(F.col("entity_type") == level).select(
-            F.col("key").alias(on),
+            F.col("key").alias("_key"),
             F.col("entity_name").alias(f"{level}_name"),
             F.col("entity_id").alias(f"{level}_id"),
         )
-        df = df.join(dim, on, "inner" if level in require else "left")
+        if level in require:
+            df = df.join(dim, F.col(on) == F.col("_key")).drop("_key")
+        else:
+            by = F.xxhash64(*plain)
+            df = df.join(dim, spread_nulls(F.col(on), by) == F.col("_key"), "left").drop("_key")
     return df
 
 
