@@ -44,7 +44,7 @@ MARKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 UND = "und"
 COUNT, SCALE = "decimal(14,0)", 1_000_000
-CHUNK, BATCH_ROWS = 6 << 20, 1 << 16
+CHUNK, BATCH_ROWS = 5 << 20, 1 << 17
 #: Numbers that are no word: behind the end of a piece, and any word too rare for a phrase.
 PAD, RARE, FIRST = 0, 1, 2
 
@@ -157,16 +157,16 @@ def _renumber(longest: int) -> callable:
                     numbers[known.values.field("pos").to_numpy() + FIRST] = known.values.field("id").to_numpy()
                 kinds = pc.dictionary_encode(langs)
                 lang = np.concatenate([np.zeros(FIRST, np.int64), kinds.indices.to_numpy()])
-                local = [spread_out(batch[n][i].as_py()) for n in names]
-                columns, gone = [], np.zeros(len(local[0]), bool)
-                for c in local:
-                    columns.append(np.where(gone, PAD, numbers[c]))
-                    gone |= columns[-1] == RARE
-                found, f = count_rows([lang[local[0]], *columns], spread_out(batch["f"][i].as_py()))
-                spelled = kinds.dictionary.cast(pa.string()).take(pa.array(found[0]))
-                whole = pa.RecordBatch.from_arrays([spelled, *[pa.array(c) for c in found[1:]], pa.array(f)], names=["lang", *names, "f"])
-                for at in range(0, len(whole), BATCH_ROWS):
-                    yield whole.slice(at, BATCH_ROWS)
+                local, counts = [spread_out(batch[n][i].as_py()) for n in names], spread_out(batch["f"][i].as_py())
+                for at in range(0, len(counts), BATCH_ROWS):
+                    block = [c[at : at + BATCH_ROWS] for c in local]
+                    columns, gone = [lang[block[0]]], np.zeros(len(block[0]), bool)
+                    for c in block:
+                        columns.append(np.where(gone, PAD, numbers[c]))
+                        gone |= columns[-1] == RARE
+                    found, f = count_rows(columns, counts[at : at + BATCH_ROWS])
+                    spelled = kinds.dictionary.cast(pa.string()).take(pa.array(found[0]))
+                    yield pa.RecordBatch.from_arrays([spelled, *[pa.array(c) for c in found[1:]], pa.array(f)], names=["lang", *names, "f"])
 
     return run
 
@@ -185,7 +185,7 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, text: str = "text",
     known = entries.join(words, ["lang", "word"]).groupBy("part", "row").agg(F.collect_list(F.struct("pos", "id")).alias("known"))
     wide = chunks.join(known, ["part", "row"], "left").select(F.col("entries.lang").alias("langs"), "known", *names, "f")
     leads = wide.mapInArrow(_renumber(longest), "lang string, " + ", ".join(f"{n} long" for n in names) + ", f long")
-    counted = keep(leads.groupBy("lang", *names).agg(F.sum("f").alias("f")), "phrase-windows")
+    counted = keep(leads.groupBy("lang", *names).agg(F.sum("f").alias("f")), "phrase-windows", "zstd")
     drop(chunks)
 
     # Whole windows are the longest phrases; shorter ones are sums over the words behind them.
