@@ -185,8 +185,6 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, text: str = "text",
     known = entries.join(words, ["lang", "word"]).groupBy("part", "row").agg(F.collect_list(F.struct("pos", "id")).alias("known"))
     wide = chunks.join(known, ["part", "row"], "left").select(F.col("entries.lang").alias("langs"), "known", *names, "f")
     leads = wide.mapInArrow(_renumber(longest), "lang string, " + ", ".join(f"{n} long" for n in names) + ", f long")
-    # Dealt by all words but the last: sums over the last word then meet in the task that wrote their windows.
-    leads = leads.repartition("lang", *names[: max(1, longest - 1)])
     counted = keep(leads.groupBy("lang", *names).agg(F.sum("f").alias("f")), "phrase-windows", "zstd")
     drop(chunks)
 
