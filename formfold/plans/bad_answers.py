@@ -15,10 +15,22 @@ from formfold.plans.answers import _answer_of, _instance_answers, answer_fault
 SIDE = "struct<answer_key:string,instance_id:int,question_id:string,reason:string,answer:string>"
 
 
+def _instances(v: Column) -> Column:
+    """The instances of a matrix answer; null for other answers."""
+    matrix = F.try_variant_get(v, "$.responseType", "string") == "matrix"
+    return F.when(matrix, F.try_variant_get(v, "$.value", "array<variant>"))
+
+
 def good_answers(records: DataFrame, answers: str = "answers") -> DataFrame:
-    """The records with their good answers, typed; rows of matrix answers lose bad ones when they are exploded."""
+    """The records with their good answers, typed; those of a matrix hold their good answers alone."""
     good = F.map_filter(answers, lambda _, v: answer_fault(v).isNull())
-    return records.withColumn(answers, F.transform_values(good, lambda _, v: _answer_of(v)))
+
+    def typed(_: Column, v: Column) -> Column:
+        inside = F.transform(_instances(v), lambda i: F.filter(_instance_answers(i), lambda a: answer_fault(a).isNull()))
+        value = F.coalesce(F.to_variant_object(inside), F.try_variant_get(v, "$.value", "variant"))
+        return _answer_of(v).withField("value", value)
+
+    return records.withColumn(answers, F.transform_values(good, typed))
 
 
 def _side(key: Column, instance: Column, v: Column, reason: Column) -> Column:
@@ -28,16 +40,11 @@ def _side(key: Column, instance: Column, v: Column, reason: Column) -> Column:
 
 def _bad_inside(key: Column, v: Column) -> Column:
     """Bad answers inside a matrix answer."""
-    instances = F.when(
-        F.try_variant_get(v, "$.responseType", "string") == "matrix",
-        F.try_variant_get(v, "$.value", "array<variant>"),
-    )
-
     def of(instance: Column, i: Column) -> Column:
         bad = F.filter(_instance_answers(instance), lambda a: answer_fault(a).isNotNull())
         return F.transform(bad, lambda a: _side(key, i + 1, a, answer_fault(a)))
 
-    return F.coalesce(F.flatten(F.transform(instances, of)), F.array().cast(f"array<{SIDE}>"))
+    return F.coalesce(F.flatten(F.transform(_instances(v), of)), F.array().cast(f"array<{SIDE}>"))
 
 
 def bad_answers(records: DataFrame, key: str = "_id", answers: str = "answers") -> DataFrame:
