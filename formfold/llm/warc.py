@@ -134,11 +134,11 @@ class _Source:
 def parse_member(source: _Source, at: int) -> tuple[dict, bytes, int] | None:
     """(headers, block, place behind) of the record whose member starts at ``at``, or None.
 
-    The header is decoded first; a candidate whose first bytes are not a WARC header
-    costs one block. Then the whole member must decode, with its check sum, to the
+    The header is decoded first, however long it is; a candidate whose first bytes are not a
+    WARC header costs one block. Then the whole member must decode, with its check sum, to the
     length that the header gives.
     """
-    unpack, data, head, here = zlib.decompressobj(31), bytearray(), None, at
+    unpack, data, head, here, looked = zlib.decompressobj(31), bytearray(), None, at, 0
     while not unpack.eof:
         raw = source.read(here)
         if not raw:
@@ -151,10 +151,9 @@ def parse_member(source: _Source, at: int) -> tuple[dict, bytes, int] | None:
         if head is None:
             if not data.startswith(b"WARC/"[: len(data)]):
                 return None
-            end = data.find(b"\r\n\r\n")
+            end = data.find(b"\r\n\r\n", max(0, looked - 3))
             if end < 0:
-                if len(data) > 1 << 20:
-                    return None
+                looked = len(data)
                 continue
             lines = data[:end].decode("utf-8", "replace").split("\r\n")
             head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}

@@ -50,6 +50,15 @@ def _archives(spark, rows, **options):
     return warc.write_archives(pages, **options)
 
 
+def test_records_with_long_headers_are_read(spark):
+    rng = random.Random(6)
+    url = "http://a/" + "".join(rng.choices("abcdefghij0123456789", k=6_000_000))
+    files = _archives(spark, [(1, "u", "one", "d"), (2, url, "two", "d"), (3, "u", "three", "d"), (4, url, "one", "d")])
+    got = warc.read_archives(files, payload=True).select("page_id", "record_type", "payload_bytes", "refers_to", "payload").collect()
+    found = sorted((r[0], r[1], r[2], r[3], None if r[4] is None else bytes(r[4])) for r in got)
+    assert found == [(1, "revisit", 3, 4, None), (2, "response", 3, None, b"two"), (3, "response", 5, None, b"three"), (4, "response", 3, None, b"one")]
+
+
 def test_archives_come_back_whole_at_every_range_size(spark):
     rng = random.Random(2)
     rows = [(i, f"http://a/{i}\r\nX: y", rng.choice(["", None, "same page", "p" * 5000 + str(i), "ü" * i]), "d") for i in range(60)]
