@@ -293,30 +293,3 @@ def test_pipeline_stage_by_stage(spark):
     pieces = [(r["doc_id"], rows[r["doc_id"]]["source"], " ".join(words(rows[r["doc_id"]]["text"])), r) for r in packed.collect()]
     packed_well(pieces, Counter({i: n * len(words(rows[i]["text"])) for i, n in copies.items()}), packing.CAPACITY)
     assert packed.columns == corpus_pipeline.run(spark, SF).columns
-
-
-def test_lines_of_one_bucket_are_compared_block_by_block(spark, monkeypatch):
-    """Two families of near copies and single lines in one bucket: the links join what all pairs join, and are few."""
-    monkeypatch.setattr(line_dedup, "BLOCK", 2000)
-    rng = random.Random(11)
-    families = [sentence(rng, 50) for _ in range(2)]
-    lines = sorted({edited(rng, families[i % 2]) if i < 60 else sentence(rng, 12) for i in range(80)})
-    sets = [{line[a : a + 8] for a in range(max(1, len(line) - 7))} for line in lines]
-    rows = [(7, i, len(s), i, line) for i, (s, line) in enumerate(zip(sets, lines, strict=True))]
-    known = spark.createDataFrame(rows, "bucket long, id long, grams int, component long, line string")
-    blocks = -(-sum(r[2] for r in rows) // 2000)
-    assert blocks > 4
-    links = [tuple(r) for r in line_dedup._across(known.selectExpr("*", f"{blocks} blocks"), 0.8).collect()]
-    pairs = []
-    for i in range(len(lines)):
-        pairs += [(j, i) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9]
-
-    def roots(edges):
-        up = list(range(len(lines)))
-        for _ in lines:
-            for a, b in edges:
-                up[a] = up[b] = min(up[a], up[b])
-        return up
-
-    assert roots(links) == roots(pairs) and len(set(roots(pairs))) < 40
-    assert len(links) <= blocks * len(lines) and len(links) < len(pairs)
