@@ -1,6 +1,9 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
-Each word enters as a word vector beside the mean vector of its character n-grams.
+Each word enters as a word vector beside the mean vector of its character n-grams
+and its evidence: how much likelier it stands in toxic texts of the sample. In
+training a text does not count for its own words' evidence and half of the words show
+nothing else, so that a few toxic texts are not learned by heart.
 States of both directions give an attention weight and a value per word; every
 window of ``WINDOW`` words (all overlapping ones, a step of one word) pools its
 values by attention, and the document's score is that of its highest window.
@@ -28,10 +31,16 @@ from .store import names
 WINDOW, THRESHOLD = 16, 0.3
 HIDDEN, STREAMS, CONTEXT = 8, 1024, 16
 WORDS, GRAMS, DIM, LONGEST = 4096, 8192, 16, 24
+#: Places of the table of word evidence; far more than words, as a rare word that shares its place with a common one is lost.
+EVIDENCE = 1 << 18
+#: Texts of both kinds that a word is taken to stand in besides those that it does.
+SMOOTH = 2.0
+#: Share of the words that enter a training step with their vectors.
+SHOWN = 0.5
 #: Bytes of text scored at a time.
 PIECE = 1 << 20
-#: Bounds of the labelled sample: rows of each kind, and words of each text in it.
-SAMPLE, SAMPLE_WORDS = 1200, 200
+#: Bounds of the labelled sample: texts of each kind, characters of each, and words of each that enter a training step.
+SAMPLE, SAMPLE_CHARS, SAMPLE_WORDS = 1200, 16_000, 200
 
 #: Bytes that belong to words (letters, digits, all of UTF-8 beyond ASCII), lower-cased; 0 elsewhere.
 _LOWER = np.zeros(256, np.uint8)
@@ -99,13 +108,28 @@ class Words:
         return np.concatenate(codes, 1).astype(np.int64), np.concatenate(live, 1)
 
 
-def word_vectors(p: dict, words: Words, rows: slice = slice(None)) -> tuple[np.ndarray, tuple]:
+def word_vectors(p: dict, words: Words, rows: slice = slice(None), evidence: np.ndarray | None = None) -> tuple[np.ndarray, tuple]:
     codes, live = words.grams(rows)
     weight = (live / live.sum(1, keepdims=True)).astype(F4)
-    x = np.concatenate([p["words"][words.hash[rows] % WORDS], np.einsum("ug,ugd->ud", weight, p["grams"][codes])], axis=1)
+    known = p["evidence"][words.hash[rows] % EVIDENCE] if evidence is None else evidence
+    x = np.concatenate([p["words"][words.hash[rows] % WORDS], np.einsum("ug,ugd->ud", weight, p["grams"][codes]), known[:, None]], axis=1)
     return x, (codes, weight)
 
 
+def evidence(counts: np.ndarray, kinds: np.ndarray, left_out: int | None = None) -> np.ndarray:
+    """How much likelier each word stands in toxic texts, as a logarithm, from ``counts`` (2, words) in ``kinds`` (2) texts.
+
+    ``left_out``: the kind of a text that holds the word and does not count itself, so
+    that in training a word that no other text holds tells nothing of its text.
+    """
+    counts, kinds = counts.astype(np.float64), kinds.astype(np.float64)
+    if left_out is not None:
+        counts[left_out] = np.maximum(counts[left_out] - 1, 0)
+        kinds[left_out] = max(kinds[left_out] - 1, 1)
+    rate = (counts + SMOOTH * kinds[:, None] / kinds.sum()) / kinds[:, None]
+    return np.log(rate[1] / rate[0]).astype(F4)
+
+
 def window_bounds(behind: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end) of all windows over texts whose words end at ``behind``; first window of each text that has words."""
     first = np.append(0, behind[:-1])
@@ -157,6 +181,29 @@ def document_logits(p: dict, texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _held(samples: list[tuple[bytes, int]]) -> np.ndarray:
+    """In how many texts of each kind (0, 1) each word stands."""
+    held = np.zeros((2, EVIDENCE), np.int64)
+    for text, kind in samples:
+        data = np.frombuffer(text, np.uint8)
+        if len(data):
+            words = Words(data, np.array([len(data)]))
+            held[kind, np.unique(words.hash % EVIDENCE)] += 1
+    return held
+
+
+def _most_telling(text: bytes, known: np.ndarray) -> bytes:
+    """The ``SAMPLE_WORDS`` words around the one of most evidence."""
+    data = np.frombuffer(text, np.uint8)
+    words = Words(data, np.array([len(data)]))
+    if len(words.number) <= SAMPLE_WORDS:
+        return text
+    at = int(known[words.hash % EVIDENCE][words.number].argmax())
+    start = min(max(at - SAMPLE_WORDS // 2, 0), len(words.number) - SAMPLE_WORDS)
+    stop = start + SAMPLE_WORDS - 1
+    return text[words.start[start] : words.start[stop] + words.length[stop]]
+
+
 def fit(samples: list[tuple[bytes, int]], epochs: int = 4, batch: int = 64, seed: int = 9, share: float | None = None) -> dict:
     """Train on (text bytes, 0 or 1); ``share``: of toxic texts where the sample was drawn."""
     toxic = sum(y for _, y in samples)
@@ -165,10 +212,13 @@ def fit(samples: list[tuple[bytes, int]], epochs: int = 4, batch: int = 64, seed
     if toxic in (0, len(samples)):
         return base
     rng, n = np.random.default_rng(seed), HIDDEN
-    p = {"words": (rng.standard_normal((WORDS, DIM)) * 0.1).astype(F4), "grams": (rng.standard_normal((GRAMS, DIM)) * 0.5).astype(F4)}
+    p = {"words": (rng.standard_normal((WORDS, DIM)) * 0.1).astype(F4), "grams": (rng.standard_normal((GRAMS, DIM)) * 0.1).astype(F4)}
     p |= {"out": (rng.standard_normal((2 * n, 2)) * 0.5).astype(F4), "bias": np.full(1, -1, F4)}
+    held, kinds = _held(samples), np.array([len(samples) - toxic, toxic])
+    seen = [evidence(held, kinds, kind) for kind in (0, 1)]
+    samples = [(_most_telling(text, seen[kind]), kind) for text, kind in samples]
     for d in "fb":
-        p |= {f"in_{d}": (rng.standard_normal((2 * DIM, 3 * n)) * 0.3).astype(F4), f"gate_{d}": np.zeros(3 * n, F4), f"u_{d}": init_cell(rng, n)}
+        p |= {f"in_{d}": (rng.standard_normal((2 * DIM + 1, 3 * n)) * 0.3).astype(F4), f"gate_{d}": np.zeros(3 * n, F4), f"u_{d}": init_cell(rng, n)}
     adam = Adam(p, 0.02)
     order = sorted(range(len(samples)), key=lambda i: len(samples[i][0]))
     batches = [order[i : i + batch] for i in range(0, len(order), batch)]
@@ -184,11 +234,15 @@ def fit(samples: list[tuple[bytes, int]], epochs: int = 4, batch: int = 64, seed
             continue
         first = np.append(0, words.behind[:-1])
         length, known = int(count.max()), len(words.hash)
-        x, (codes, weight) = word_vectors(p, words)
-        ids = np.full((length, len(texts)), known, np.int64)
+        # A word is two entries, as clean and as toxic texts see it; each text leaves itself out.
+        vectors, (codes, weight) = word_vectors(p, words, evidence=np.zeros(known, F4))
+        # A part of the words show their evidence alone, so that texts cannot be learned by heart.
+        shown = (rng.random((known, 1)) < SHOWN).astype(F4) / F4(SHOWN)
+        x = np.concatenate([np.concatenate([vectors[:, : 2 * DIM] * shown, e[words.hash % EVIDENCE][:, None]], axis=1) for e in seen])
+        ids = np.full((length, len(texts)), 2 * known, np.int64)
         for j, (a, c) in enumerate(zip(first, count, strict=True)):
-            ids[:c, j] = words.number[a : a + c]
-        real = ids < known
+            ids[:c, j] = words.number[a : a + c] + known * chosen[j][1]
+        real = ids < 2 * known
         states, saved = {}, {}
         for d in "fb":
             # The table's last row holds what lies beyond a text's end: its update gate is shut.
@@ -223,15 +277,16 @@ def fit(samples: list[tuple[bytes, int]], epochs: int = 4, batch: int = 64, seed
             rows = np.argsort(ids[real], kind="stable")
             numbers = ids[real][rows]
             cut = np.flatnonzero(np.diff(numbers, prepend=-1))
-            d_table = np.zeros((known, 3 * n), F4)
+            d_table = np.zeros((2 * known, 3 * n), F4)
             d_table[numbers[cut]] = np.add.reduceat(d_gates[rows], cut)
             grads[f"in_{d}"], grads[f"gate_{d}"] = x.T @ d_table, d_table.sum(0)
             dx += d_table @ p[f"in_{d}"].T
+        dx = (dx[:known] + dx[known:])[:, : 2 * DIM] * shown
         grads["words"], grads["grams"] = np.zeros_like(p["words"]), np.zeros_like(p["grams"])
         np.add.at(grads["words"], words.hash % WORDS, dx[:, :DIM])
         np.add.at(grads["grams"], codes, weight[:, :, None] * dx[:, None, DIM:])
         adam.step(grads, 1 - step / total)
-    return p | base
+    return p | base | {"evidence": evidence(held, kinds)}
 
 
 def scores(model: dict, texts: pa.Array) -> np.ndarray:
@@ -256,10 +311,10 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[bytes, int]],
     """At most ``SAMPLE`` labelled texts of each kind, and the share of toxic ones among all labels.
 
     Of each kind, at most ``8 * SAMPLE`` ids with the smallest hashes are candidates:
-    this list is what is broadcast to find their texts. Of these, short texts come first,
-    as a label tells more about them, then those with the smallest hashes. Longer texts
-    give their first ``SAMPLE_WORDS`` words. An id labelled twice counts as toxic if one
-    label says so; null labels and null texts are left out.
+    this list is what is broadcast to find their texts. Equal texts count once. Those of
+    at most ``SAMPLE_CHARS`` characters come first and enter whole, then those with the
+    smallest hashes; longer ones give as many characters. An id labelled twice counts as
+    toxic if one label says so; null labels and null texts are left out.
     """
     y = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     share = y.agg(F.avg(F.col("y").cast("double"))).first()[0]
@@ -267,8 +322,8 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[bytes, int]],
     for kind in (0, 1):
         ids = y.filter(F.col("y") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(8 * SAMPLE).select("doc_id")
         rows = docs.filter("text is not null").join(F.broadcast(ids), "doc_id")
-        rows = rows.select(F.substring("text", 1, 8 * SAMPLE_WORDS).alias("text"), (F.length("text") > 8 * SAMPLE_WORDS).alias("long"), F.xxhash64("text").alias("h"))
-        best = rows.orderBy("long", "h", "text").select("text").limit(SAMPLE)
+        rows = rows.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), (F.length("text") > SAMPLE_CHARS).alias("long"), F.xxhash64("text").alias("h"))
+        best = rows.groupBy("long", "h").agg(F.min("text").alias("text")).orderBy("long", "h", "text").select("text").limit(SAMPLE)
         got += [(r["text"].encode(), kind) for r in best.collect()]
     return got, share or 0.0
 

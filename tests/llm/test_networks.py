@@ -140,3 +140,23 @@ def test_toxicity_on_held_out_documents(spark):
     toxic = [r["score"] for r in rows if r["toxic"]]
     assert sum(s >= 0.3 for s in clean) <= 0.05 * len(clean)
     assert sum(s >= 0.3 for s in toxic) >= 0.5 * len(toxic)
+
+
+def test_word_evidence_leaves_the_text_itself_out():
+    held, kinds = np.array([[0, 9, 0], [1, 9, 5]]), np.array([90, 10])
+    alone, common, strong = toxicity.evidence(held, kinds, 1)
+    # A word that only this toxic text holds tells nothing; one that others hold too does.
+    assert abs(alone) < 0.1 and strong > 2 and common > 1
+    assert toxicity.evidence(held, kinds)[0] > 0.5
+
+
+def test_the_toxicity_sample_takes_equal_texts_once_and_words_far_behind(spark):
+    rows = [(i, "the same bad text") for i in range(40)] + [(40, "calm " * 900 + "vexel" + " calm" * 900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got, share = toxicity.sample(docs, docs.selectExpr("doc_id", "1 as toxic"))
+    assert sorted(len(t) for t, _ in got) == [17, 9005] and share == 1.0
+    known = np.zeros(toxicity.EVIDENCE, np.float32)
+    data = np.frombuffer(b"vexel", np.uint8)
+    known[toxicity.Words(data, np.array([5])).hash % toxicity.EVIDENCE] = 3
+    piece = toxicity._most_telling(rows[-1][1].encode(), known)
+    assert b"vexel" in piece and len(piece.split()) == toxicity.SAMPLE_WORDS
