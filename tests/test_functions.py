@@ -111,3 +111,32 @@ def test_under_split_scans_are_spread(spark):
     few, many = spark.range(10).coalesce(1), spark.range(10).repartition(cores + 1)
     assert spread(few).rdd.getNumPartitions() == cores
     assert spread(many) is many
+
+
+def test_wide_theme_trees_are_walked_as_often_as_they_are_deep(spark):
+    import json
+
+    from formfold.operators import theme_criteria
+    from formfold.operators.themes import array_depth
+
+    leaf = lambda i: {"name": f"t]{i}", "children": [], "criteria": [{"criteriaId": f"c{i}"}]}
+    wide = json.dumps([{"name": "d[[\"[", "externalId": "D\\", "children": [leaf(i) for i in range(500)]}])
+    rows = spark.createDataFrame([(wide,), ("[]",), (None,), ("{}",)], "t string")
+    assert [r[0] for r in rows.select(array_depth(F.col("t"))).collect()] == [3, 1, 0, 0]
+    found = rows.select(theme_criteria(F.parse_json("t"))).collect()
+    assert [len(r[0]) for r in found] == [500, 0, 0, 0]
+    assert found[0][0][499].asDict() == {"domain_name": 'd[["[', "domain_externalId": "D\\", "parent": "t]499", "criteria_id": "c499"}
+
+
+def test_equal_theme_documents_are_walked_once(spark):
+    from formfold.operators.themes import theme_table
+
+    a = '[{"name":"A","externalId":"a","criteria":[{"criteriaId":"x"},{"criteriaId":"y"}]}]'
+    rows = [(f"s{i}", a) for i in range(50)] + [("t", a.replace("A", "B")), ("u", None), ("v", "[]")]
+    solutions = spark.createDataFrame(rows, "_id string, t string").withColumn("themes", F.parse_json("t"))
+    found = theme_table(solutions)
+    assert found.columns == ["solution_id", "domain_name", "domain_externalId", "parent", "criteria_id"]
+    got = sorted((r[0], r[1], r[4]) for r in found.collect())
+    assert got == sorted((i, "B" if i == "t" else "A", c) for i in [f"s{n}" for n in range(50)] + ["t"] for c in "xy")
+    walk = found._jdf.queryExecution().optimizedPlan().toString()
+    assert walk.index("Generate inline") < walk.index("Aggregate [")
