@@ -219,11 +219,11 @@ def quiz_answers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """SELECT count(*) AS active_users FROM (
-        SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 5
+        SELECT user_id FROM events WHERE event_type = 'purchase'
         GROUP BY user_id HAVING count(*) >= 2)"""
 )
 def having_active_users(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").filter("event_type = 'purchase' AND value > 5")
+    events = table(spark, sf, "events").filter("event_type = 'purchase'")
     return courses.active_users(events, "user_id")
 
 
@@ -458,12 +458,12 @@ _POST_DAYS = """
         -1::BIGINT AS m3,
         CASE WHEN event_id % 5 <> 0 AND event_id % 4 <> 0
             THEN round((event_id % 5) / (event_id % 4), 6) END AS post_ctr
-    FROM events WHERE event_type = 'view'"""
+    FROM events"""
 )
 def post_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics chosen per page in ordered slots; missing names are skipped."""
     events = table(spark, sf, "events")
-    days = events.filter("event_type = 'view'").selectExpr(
+    days = events.selectExpr(
         "concat('urn:post:', event_id) AS share",
         "concat('urn:page:', user_id % 10) AS organizationalEntity",
         _POST_DAYS,
