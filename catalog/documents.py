@@ -726,7 +726,8 @@ def location_columns(spark: SparkSession, sf: str) -> DataFrame:
 )
 def theme_tree(spark: SparkSession, sf: str) -> DataFrame:
     """Criteria of every solution's theme tree with their domain."""
-    return theme_table(derive.solutions(spark, sf))
+    # Read twice, for keys and for documents, so written once.
+    return theme_table(materialize(derive.solutions(spark, sf), "solutions"))
 
 
 @query(
