@@ -56,6 +56,12 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _octet(digits: str) -> bool:
+    """At most 255; leading zeros go first, as int() refuses texts of many digits."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or 0) <= 255
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Each @ has one possible match: the whole run of local characters before it, the domain behind it."""
     end, at = 0, text.find("@")
@@ -74,7 +80,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """All matches of the patterns, by start, then kind."""
     out = [("email", a, b) for a, b in emails(text)]
     if _DIGIT.search(text):
-        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split("."))]
+        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(_octet(x) for x in m[0].split("."))]
         for m in _CARD.finditer(text):
             digits = _digits(m[0])
             if 12 <= len(digits) <= 19 and luhn(digits):
@@ -116,7 +122,7 @@ def span_features(text: str, start: int, end: int) -> tuple[str, ...]:
     before, behind = sort(text[start - 1 : start]), sort(text[end : end + 1])
     marks = "".join(sorted(set(re.sub(r"[a9\s]", "", shape))))
     octets = s.split(".")
-    good_ip = len(octets) == 4 and all(x.isdigit() and len(x) <= 3 and int(x) <= 255 for x in octets)
+    good_ip = len(octets) == 4 and all(x.isdecimal() and len(x) <= 3 and int(x) <= 255 for x in octets)
     return (
         "runs " + runs[:40],
         "shape " + re.sub(r"9+", "9", shape)[:40],
@@ -301,7 +307,10 @@ FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_s
 
 
 def personal_data(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per document: number of spans of each kind, digest of the patterns' spans, all spans, how many were added."""
+    """A row per document: number and digest of the patterns' spans, all spans, how many were added.
+
+    ``n_*`` and the digest are fixed by the text alone; ``spans`` and ``n_added`` depend on what the field learned.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -309,7 +318,7 @@ def personal_data(docs: DataFrame, field: Field | None, doc_id: str = "doc_id",
             digests, alls = [], []
             for t in batch.column(1):
                 base, every = find(t.as_py() or "", field)
-                counts.append([sum(s[0] == k for s in every) for k in KINDS] + [len(every) - len(set(base))])
+                counts.append([sum(s[0] == k for s in base) for k in KINDS] + [len(every) - len(set(base))])
                 digests.append(hashlib.sha256(joined(base).encode()).hexdigest())
                 alls.append(joined(every))
             c = np.array(counts, np.int64).reshape(-1, 5)

@@ -238,3 +238,14 @@ def test_personal_data_query_keeps_the_patterns_spans(spark):
         assert set(said) <= set(r["spans"].split(",")) | {""}
         spans = [s.split(":") for s in r["spans"].split(",") if s]
         assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in spans) for k in pii.KINDS]
+
+
+def test_counts_are_those_of_the_patterns(spark):
+    field = pii.fit(pii.sample(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), most=400))
+    text = "ring (988) 555-2485 or +1 (988) 555-2486, bob.7@mail.example.com"
+    odd = ["call 10.1.2.\u00b2 now", "call \u00b9.\u00b2.3.4 now", "0" * 5000 + ".1.2.3"]
+    rows = [(0, text), *enumerate(odd, 1)]
+    by = {r["doc_id"]: r for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string"), field).collect()}
+    assert by[0]["spans"].count("phone") == 2 and by[0]["n_added"] == 1
+    assert [by[0][f"n_{k}"] for k in pii.KINDS] == [1, 0, 0, 1]
+    assert by[1]["n_ip"] == by[2]["n_ip"] == 0 and by[3]["n_ip"] == 1
