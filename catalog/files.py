@@ -71,11 +71,11 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F'"""
 )
 def json_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Nested documents as JSON lines, appended to, read with their schema."""
+    """Nested documents as compressed JSON lines, appended to, read with their schema."""
     docs = derive.projects(spark, sf)
     folder = shared_folder(spark, "json")
-    write_json(docs, folder, "projects")
-    path = write_json(docs.filter("status = 'submitted'"), folder, "projects", mode="append")
+    write_json(docs, folder, "projects", compression="gzip")
+    path = write_json(docs.filter("status = 'submitted'"), folder, "projects", mode="append", compression="gzip")
     back = read_docs(spark, path, schemas.PROJECT)
     return back.select("_id", F.array_size("tasks").cast("bigint").alias("n_tasks"))
 

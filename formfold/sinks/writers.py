@@ -11,10 +11,10 @@ from formfold.functions import slug
 UNNAMED = "ProgramName_notdefined"
 
 
-def write_json(df: DataFrame, folder: str, name: str, mode: str = "overwrite") -> str:
-    """JSON lines below ``folder/name``; ``mode="append"`` adds to it."""
+def write_json(df: DataFrame, folder: str, name: str, mode: str = "overwrite", compression: str = "none") -> str:
+    """JSON lines below ``folder/name``; ``mode="append"`` adds to it. Readers know compressed files by their names."""
     path = f"{folder}/{name}"
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).option("compression", compression).json(path)
     return path
 
 
