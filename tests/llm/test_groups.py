@@ -54,6 +54,29 @@ def test_lines_agree_with_all_pairs(spark):
     assert line_dedup.dedup_lines(table.limit(0)).count() == 0
 
 
+def test_lines_that_share_a_passage_are_compared_by_their_rare_shingles(spark, monkeypatch):
+    """Lines in one bucket for a passage only: all links, but far fewer comparisons than pairs."""
+    rng = random.Random(27)
+    hot, family = sentence(rng, 20), sentence(rng, 40)
+    lines = [f"{hot} {sentence(rng, 24)}" for _ in range(150)] + [edited(rng, family, rng.randint(1, 12)) for _ in range(150)]
+    lines += [edited(rng, line) for line in rng.sample(lines, 60)]
+    docs = list(enumerate(lines))
+    compared, verified = [], line_dedup._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.distinct().count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(line_dedup, "_verified", counted)
+    monkeypatch.setattr(line_dedup, "WIDE", 8, raising=False)
+    one = F.array(F.lit(1).cast("long"))
+    bins = line_dedup.with_bins
+    monkeypatch.setattr(line_dedup, "with_bins", lambda df, line="line": bins(df, line).withColumn("bins", one))
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted((r["doc_id"], r["n_kept"]) for r in got) == [(i, k) for i, _, _, k in fuzzy_lines(docs)]
+    assert sum(compared) < len(docs) ** 2 / 10
+
+
 def test_lines_with_one_changed_character_are_one(spark):
     """Lines of 84 to 114 characters: 0.81 and more on shingles of 8, below 0.8 on those of 12."""
     rng = random.Random(17)
