@@ -51,6 +51,8 @@ def spread_join(
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_parts")
     )
+    # Dealt by the part too, whatever the session lets the planner take as co-located.
+    repeated = repeated.repartition(*keys, "_part")
     joined = spread.drop("_parts").join(repeated, [*keys, "_part"]).drop("_part")
     if comparable:
         joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))

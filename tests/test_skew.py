@@ -97,3 +97,11 @@ def test_distinct_report_ids_of_mixed_types_and_nulls(spark):
     report = distinct_report(
         df, ["g"], {"n": ("a", None), "m": ("b", F.col("ok")), "o": ("a", F.col("ok"))})
     assert rows(report) == [("g", 1, 1, 1), (None, 0, 1, 1)]
+
+
+def test_spread_join_splits_the_hot_key_where_some_keys_suffice(spark):
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        test_spread_join_splits_the_hot_key(spark)
+    finally:
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
