@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from formfold.functions import as_column
 
+#: Rows of a spread scan that one task may take.
+TASK_ROWS = 100_000
+
 
 def read_docs(spark: SparkSession, path: str, schema: str, fmt: str = "json") -> DataFrame:
     """Documents with an explicit nested schema (no inference pass over the data)."""
@@ -37,17 +41,20 @@ def unwrap(df: DataFrame, column: str = "events") -> DataFrame:
     return df.select(F.explode_outer(column).alias(column)).select(f"{column}.*")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that has fewer splits than the cluster has cores.
+def spread(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the cluster has cores or its rows ask for.
 
     A few files that cannot be split (gzip JSON, one row group) would leave all
-    wide work after them to a few tasks. A large scan has more splits than
-    cores and stays as it is, without a shuffle; so does a stream.
+    wide work after them to a few tasks, and a split of flat columns holds millions of
+    rows, so what a task makes and groups of them would grow with the table. A scan with enough
+    splits stays as it is, without a shuffle; so does a stream. The rows are counted from
+    the files' footers.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = max(cores, math.ceil(df.count() / task_rows))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def scan(

@@ -113,6 +113,13 @@ def test_under_split_scans_are_spread(spark):
     assert spread(many) is many
 
 
+def test_scans_are_spread_by_their_rows(spark):
+    from formfold.sources import spread
+
+    rows = spark.range(0, 2_000_000, 1, spark.sparkContext.defaultParallelism)
+    assert spread(rows).rdd.getNumPartitions() == 20
+
+
 def test_wide_theme_trees_are_walked_as_often_as_they_are_deep(spark):
     import json
 
