@@ -101,13 +101,15 @@ def hierarchy(
     levels: list[str] = LEVELS,
     require: list[str] = (),
     key_suffix: str = "_externalId",
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Add ``<level>_name`` and ``<level>_id`` for each ``<level>_externalId``.
 
     ``keys`` comes from :func:`entity_keys`. Levels in ``require`` drop the rows
-    that have no match. Rows without a key are spread by their other values.
+    that have no match. Rows without a key are spread by the columns ``by``: name the
+    row's id, as all other values, the default, have to move with the rows for it.
     """
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))]
+    plain = by or [f.name for f in df.schema.fields if not isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))]
     for level in levels:
         on = level + key_suffix
         dim = keys.filter(F.col("entity_type") == level).select(
@@ -118,8 +120,7 @@ def hierarchy(
         if level in require:
             df = df.join(dim, F.col(on) == F.col("_key")).drop("_key")
         else:
-            by = F.xxhash64(*plain)
-            df = df.join(dim, spread_nulls(F.col(on), by) == F.col("_key"), "left").drop("_key")
+            df = df.join(dim, spread_nulls(F.col(on), F.xxhash64(*plain)) == F.col("_key"), "left").drop("_key")
     return df
 
 

@@ -121,7 +121,7 @@ def project_report(
     if entities is None:
         flat = locations_to_columns(flat, "_locations").drop("_locations")
     else:
-        flat = hierarchy(flat, entities)
+        flat = hierarchy(flat, entities, by=["project_id"])
     if not per_task:
         evidence = F.coalesce(project_evidence("tasks", "attachments"), F.lit(False))
         flat = flat.withColumn("evidence_status", evidence)

@@ -127,7 +127,7 @@ def status_report(
     if keys is None:
         rows = locations_to_columns(rows, "_located")
     else:
-        rows = hierarchy(rows, keys, require=require)
+        rows = hierarchy(rows, keys, require=require, by=["submission_id"])
     rows = with_name(rows.drop("_located"), solutions, "solution_id", "solution_name")
     rows = with_name(rows, programs, "program_id", "program_name")
     if every_organisation:

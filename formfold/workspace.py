@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -29,8 +32,24 @@ def materialize(df: DataFrame, label: str, by: list[str] = ()) -> DataFrame:
     For a derived dimension used by several joins: it is computed once, its
     size is known to the planner (so a small one is broadcast without shuffling
     the other side first), and a big one joins as a plain scan, whose skewed
-    partitions adaptive execution can split. ``by`` columns become folders.
+    partitions adaptive execution can split. ``by`` columns become folders; with one
+    such column (of few values) each folder is a read of its own, so a filter on it leaves the
+    planner the size of that folder, not of the whole table.
     """
-    path = shared_folder(df.sparkSession, label)
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, label)
     df.write.partitionBy(*by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    whole = spark.read.schema(df.schema).parquet(path)
+    if len(by) != 1:
+        return whole
+    [column] = by
+    values = [row[0] for row in whole.select(column).distinct().collect()]
+    # other values have escaped folder names
+    plain = [v for v in values if isinstance(v, str) and v.isascii() and v.isidentifier()]
+    inside = StructType([f for f in df.schema if f.name != column])
+    parts = [
+        spark.read.schema(inside).parquet(f"{path}/{column}={v}").withColumn(column, F.lit(v)).select(df.columns)
+        for v in plain
+    ]
+    if len(plain) < len(values) or not plain:
+        parts.append(whole.filter(F.col(column).isNull() | ~F.col(column).isin(plain)))
+    return reduce(DataFrame.unionByName, parts)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from formfold.operators import bitmap_counts, bitmap_table, extend_dictionary, hierarchy, spread_nulls
 from formfold.plans.metrics import rollup_merge
 from formfold.sinks import read_rollup, write_rollup
+from formfold.workspace import materialize
 from support import plan_text
 
 
@@ -95,3 +96,21 @@ def test_levels_of_rows_with_and_without_keys(spark):
     found = hierarchy(rows, dim, ["state", "block"])
     assert sorted(map(tuple, found.select("n", "state_name", "block_id").collect()), key=str) == [(1, "State 1", None), (2, None, "j1"), (3, None, None), (4, None, "j1")]
     assert [r["n"] for r in hierarchy(rows, dim, ["state", "block"], require=["state"]).collect()] == [1]
+
+
+def test_lookups_move_the_row_id_alone(spark):
+    dim = spark.createDataFrame([("state", "s1", "i1", "State 1")], "entity_type string, key string, entity_id string, entity_name string")
+    rows = spark.range(3).selectExpr("id", "concat('s', id) AS state_externalId", "concat('wide', id) AS note")
+    found = hierarchy(rows, dim, ["state"], by=["id"]).select("id", "state_name")
+    assert "wide" not in plan_text(found)
+    assert sorted(map(tuple, found.collect())) == [(0, None), (1, "State 1"), (2, None)]
+
+
+def test_a_folder_of_a_stored_table_is_read_alone(spark):
+    dim = spark.createDataFrame([("state", "s"), ("block", "b"), ("my type", "t"), (None, "n")], "entity_type string, key string")
+    stored = materialize(dim, "levels", ["entity_type"])
+    words = materialize(dim.filter("key IN ('s', 'b')"), "levels", ["entity_type"])
+    text = plan_text(words.filter("entity_type = 'state'"))
+    assert text.count("+- Scan parquet") == 1 and "state AS entity_type" in text
+    assert stored.columns == dim.columns
+    assert sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, dim.collect()), key=str)
