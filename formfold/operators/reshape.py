@@ -26,6 +26,7 @@ __all__ = [
     "explode_map",
     "explode_roles",
     "explode_rows",
+    "explode_task_rows",
     "fan_out_orgs",
     "project_evidence",
     "fan_out_roles",
@@ -34,6 +35,7 @@ __all__ = [
     "melt",
     "metric_slots",
     "pivot",
+    "task_rows",
 ]
 
 
@@ -133,6 +135,15 @@ def flatten_tasks(df: DataFrame, base: str = "") -> DataFrame:
 
     ``project_has_evidence`` tells whether the project has attachments itself.
     """
+    return explode_task_rows(task_rows(df, base))
+
+
+def task_rows(df: DataFrame, base: str = "") -> DataFrame:
+    """The rows of ``flatten_tasks`` as an array ``_rows`` of their project.
+
+    What else repeats a project (its organisations) goes between this and
+    ``explode_task_rows``: it then repeats projects, not the wide rows of their tasks.
+    """
     tasks = F.flatten(
         F.transform(F.coalesce("tasks", F.array()), lambda t: _task_rows(t, base))
     )
@@ -151,13 +162,17 @@ def flatten_tasks(df: DataFrame, base: str = "") -> DataFrame:
         )
 
     indexes = F.when(n > 0, F.sequence(F.lit(0), n - 1))
-    rows = staged.withColumn("_rows", F.transform(indexes, row)).withColumn(
-        "_row", F.explode_outer(distinct_structs("_rows"))
-    )
     kept = [c for c in df.columns if c not in ("tasks", "attachments", "remarks")]
-    flat = rows.select(
-        *kept, "project_has_evidence", "_row.t.*", "_row.project_evidence", "_row.project_remarks"
+    return staged.withColumn("_rows", F.transform(indexes, row)).select(
+        *kept, "project_has_evidence", distinct_structs("_rows").alias("_rows")
     )
+
+
+def explode_task_rows(df: DataFrame) -> DataFrame:
+    """One row per entry of ``task_rows``; a project without any keeps one row."""
+    kept = [c for c in df.columns if c != "_rows"]
+    rows = df.withColumn("_row", F.explode_outer("_rows"))
+    flat = rows.select(*kept, "_row.t.*", "_row.project_evidence", "_row.project_remarks")
     return flat.na.fill("false", ["task_deleted_flag", "sub_task_deleted_flag"])
 
 

@@ -19,11 +19,12 @@ from formfold.operators import (
     LEVELS,
     categories_text,
     distinct_report,
+    explode_task_rows,
     fan_out_orgs,
-    flatten_tasks,
     hierarchy,
     locations_to_columns,
     project_evidence,
+    task_rows,
 )
 
 # The dimensions of the report.
@@ -70,7 +71,7 @@ def project_report(
     Location names come from the user's profile or, when ``entities`` (see
     ``entity_keys``) is given, from the entity found by the user's location ids.
     Everything about the project as a whole is computed before its tasks are
-    exploded. Nothing here shuffles except entity lookups too big to broadcast:
+    exploded, and so are its organisations. Nothing here shuffles except entity lookups too big to broadcast:
     rows of a project are built, merged and fanned out inside the project's row.
     """
     profile = F.col("userProfile")
@@ -126,11 +127,11 @@ def project_report(
         evidence = F.coalesce(project_evidence("tasks", "attachments"), F.lit(False))
         flat = flat.withColumn("evidence_status", evidence)
         return fan_out_orgs(flat.drop("tasks", "attachments", "remarks"), "_organisations").drop("_organisations")
-    rows = fan_out_orgs(flatten_tasks(flat, evidence_base), "_organisations")
+    fanned = fan_out_orgs(task_rows(flat, evidence_base), "_organisations").drop("_organisations")
     has_evidence = evidence_status("project_has_evidence", "task_evidence_status")
-    return rows.withColumn("evidence_status", has_evidence).drop(
-        "_organisations", "project_has_evidence"
-    )
+    rows = explode_task_rows(fanned).withColumn("evidence_status", has_evidence).drop("project_has_evidence")
+    last = ["organisation_id", "organisation_name", "evidence_status"]
+    return rows.select(*[c for c in rows.columns if c not in last], *last)
 
 
 def project_counts(report: DataFrame, dims: list[str] = DIMENSIONS) -> DataFrame:
