@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from formfold import schemas
-from formfold.plans.answers import observation_answers, survey_answers
+from formfold.plans.answers import explode_answers, observation_answers, survey_answers
 from formfold.plans.evidence import observation_evidence
 
 QUESTIONS = [
@@ -44,6 +44,15 @@ def test_free_answer_needs_a_label(flat):
     assert flat({"a": answer("free", "hi", None, "text")}) == []
 
 
+def test_answers_take_only_their_own_criterion(docs):
+    answers = {"a": answer("free", "hi", ["hi"], "text", criteriaId="c2"), "b": answer("free", "x", ["x"], "text", criteriaId="c9")}
+    subs = docs(schemas.SURVEY, {"_id": "s", "answers": answers}).selectExpr(
+        "_id", "answers", "array(named_struct('id', 'c1', 'v', 1), named_struct('id', 'c2', 'v', 2)) AS own")
+    rows = explode_answers(subs, own="own")
+    assert "own" not in rows.columns
+    assert sorted(map(tuple, rows.select("a_criteriaId", "_criterion.v").collect())) == [("c2", 2), ("c9", None)]
+
+
 def test_free_answer_with_a_single_label(flat):
     assert flat({"a": answer("free", 5, "five", "number")}) == [("free", "5", "five", None)]
 

@@ -31,6 +31,23 @@ def test_project_report_does_not_shuffle(spark):
     assert "Exchange" not in plan_text(project_report(empty))
 
 
+def _generated(df):
+    """What the generators of a plan read that make rows of organisations or of ``_rows``, in the order they run."""
+    found = re.findall(r"Arguments: ((?:explode|inline)\w*\(\w+)", plan_text(df))
+    return [g for g in found if g.endswith(("(array_distinct", "(_rows"))]
+
+
+def test_organisations_repeat_projects_not_the_rows_of_tasks(spark):
+    from formfold import schemas
+
+    found = _generated(project_report(spark.createDataFrame([], schemas.PROJECT)))
+    assert found == ["explode(array_distinct", "explode(_rows"]
+
+
+def test_organisations_repeat_surveys_not_the_rows_of_answers(spark):
+    assert _generated(QUERIES["survey_answers"](spark, SF)) == ["explode(array_distinct", "inline(_rows"]
+
+
 def test_latest_prunes_before_the_shuffle(spark):
     rows = spark.read.parquet(f"{SF}/orders.parquet")
     text = plan_text(latest(rows, ["o_custkey"], ["o_orderdate"], ["o_orderkey"]))
