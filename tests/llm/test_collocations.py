@@ -103,3 +103,48 @@ def test_rows_are_counted_whatever_their_width():
     found, total = co.count_rows(columns)
     want = Counter(zip(*[c.tolist() for c in columns], strict=True))
     assert dict(zip(zip(*[c.tolist() for c in found], strict=True), total.tolist(), strict=True)) == want
+
+
+@pytest.mark.parametrize("longest", [2, 3, 4])
+def test_divided_windows_are_counted_whole(spark, monkeypatch, longest):
+    """Frequent first words in several pieces, several merges in a task, several groups."""
+    for name, value in (("SPLIT", 40), ("MERGED", 100), ("GROUP", 30), ("CHUNK", 500)):
+        monkeypatch.setattr(co, name, value, raising=False)
+    docs = [*texts(3), *[(200 + i, f"of the w{i % 50} of the v{i}", "en") for i in range(300)], (900, "a b", "xx")]
+    assert found(spark.createDataFrame(docs, SCHEMA).repartition(3), longest=longest) == plain(docs, longest=longest)
+
+
+def test_windows_below_least_are_not_written(spark, monkeypatch):
+    """Nearly all windows occur once: no table holds them, and few rows of them reach the sums."""
+    rnd = random.Random(5)
+    docs = [(i, " ".join(f"w{rnd.randrange(300)}" for _ in range(200)), "en") for i in range(60)]
+    kept, keep = [], co.keep
+
+    def counted(df, *rest):
+        out = keep(df, *rest)
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(co, "keep", counted)
+    assert found(spark.createDataFrame(docs, SCHEMA).coalesce(1)) == plain(docs)
+    assert max(kept) < 60 * 200 / 10
+
+
+def test_packed_columns_come_back():
+    import numpy as np
+
+    columns = [np.array(c) for c in ([0, 0, 1], [7, 1 << 40, 3], [5, 4, 1], [1, 1, 1 << 35])]
+    assert co.unpacked(co.packed(columns), 4).tolist() == [c.tolist() for c in columns]
+
+
+def test_sums_keep_all_counts_of_rare_ends():
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [(0, 5, 6, 7, 0, 9), (0, 5, 6, 8, 0, 12), (0, 5, 9, 7, 0, 2), (0, 5, 9, 8, 0, 3), (0, 4, 4, 4, 2, 3), (1, co.RARE, co.PAD, co.PAD, 0, 1)]
+    blob = co.packed([np.array(c) for c in zip(*rows, strict=True)])
+    table = pa.table({"group": [1, 1], "langs": [["en", "de"], ["en", "de"]], "windows": pa.array([blob, blob], pa.binary())})
+    got = sorted(zip(*[c.to_pylist() for c in co._sum_windows(3, 20)(table).columns], strict=True))
+    r, p = co.RARE, co.PAD
+    # A pair in several pieces keeps its words: the others' counts are elsewhere.
+    assert got == sorted([("en", 5, 6, r, 18), ("en", 5, 6, 8, 24), ("en", 5, r, p, 10), ("en", 4, 4, r, 6), ("de", r, r, p, 2)])
