@@ -6,8 +6,15 @@ by joining neighbours of neighbours: every node sees the members of its list, an
 those that list it, as candidates for each other. Links are never dropped from a list. One
 of ``CAPACITY`` links is saturated: its capacity doubles until other entries have room
 again. A round joins at most ``JOINED`` members of a list; those that wait stay new for
-the next. Rounds end when they find no further link and no member waits. Then
-recall is audited: the vectors whose id divides by ``AUDIT_EVERY`` are compared with
+the next. Rounds end when they find no further link and no member waits.
+
+A vector of more than ``DENSE`` links is dense: its links are counted, not listed. It
+and all that link with it are a region, with those of the dense vectors it links with, and
+all vectors of a region are compared with each other in blocks, of which counts alone
+come back. So a cluster takes rows by its vectors, not by their pairs, and no
+rounds by its size.
+
+Then recall is audited: the vectors whose id divides by ``AUDIT_EVERY`` are compared with
 all others of their label in blocks, and more trees are added until vectors of few and
 of many links alike have enough of their links in the graph. Edges from the threshold on make links and components.
 
@@ -21,6 +28,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +46,10 @@ THRESHOLD, RECALL, AUDIT_EVERY = 0.93, 0.98, 100
 TREES, LEAF, CAPACITY, OTHERS, JOINED = 8, 96, 12, 3, 64
 #: In place of the round that found it: an entry that was joined.
 OLD = -1
-BLOCK = 256
+#: Links of a vector that are listed; a dense vector's list is the entry of itself, of similarity ``MARK``.
+DENSE, MARK = 64, 2.0
+#: Vectors that are compared with each other in a leaf or an audit, and of a region.
+BLOCK, REGION_BLOCK = 256, 2048
 _log = logging.getLogger(__name__)
 
 
@@ -92,9 +103,11 @@ EDGE = "u long, v long, sim double"
 
 
 def _edges(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    u, v, s = (np.concatenate(x) for x in zip(*found, strict=True))
-    # The same pair may come from many lists of this task.
-    _, first = np.unique(np.stack([u, v]), axis=1, return_index=True)
+    a, b, s = (np.concatenate(x) for x in zip(*found, strict=True))
+    u, v = np.minimum(a, b), np.maximum(a, b)
+    # The same pair may come from many lists of this task, and from both its ends.
+    order = np.lexsort([v, u])
+    first = order[np.flatnonzero(np.r_[True, (np.diff(u[order]) != 0) | (np.diff(v[order]) != 0)])]
     return pa.RecordBatch.from_arrays([pa.array(u[first]), pa.array(v[first]), pa.array(s[first])], names=["u", "v", "sim"])
 
 
@@ -112,8 +125,31 @@ def _found(groups: Iterator[pa.RecordBatch], pairs_of: Callable) -> Iterator[pa.
         yield _edges(held)
 
 
+def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a symmetric matrix, as many of its pairs as connect all that it links."""
+    up, seen = np.full(len(linked), -1), ~linked.any(1)
+    while not seen.all():
+        front = np.flatnonzero(~seen)[:1]
+        seen[front] = True
+        while len(front):
+            near = linked[front] & ~seen
+            hit = np.flatnonzero(near.any(0))
+            up[hit] = front[near[:, hit].argmax(0)]
+            seen[hit] = True
+            front = hit
+    below = np.flatnonzero(up >= 0)
+    return up[below], below
+
+
+def _thin(wanted: np.ndarray, linked: np.ndarray, dense: np.ndarray) -> None:
+    """Of the links between dense vectors, ``wanted`` keeps what connects them."""
+    both = dense[:, None] & dense[None, :]
+    wanted &= ~both
+    wanted[_forest(linked & both)] = True
+
+
 def _leaf_join(threshold: float) -> Callable:
-    """Each vector's links of its leaf, all of them, and the nearest others."""
+    """Each vector's links of its leaf and the nearest others; vectors that are dense there, marked, with links that connect them."""
 
     def pairs(g: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         node, x = np.asarray(g.column("node")), _unit(_matrix(g.column("vector")))
@@ -122,9 +158,15 @@ def _leaf_join(threshold: float) -> Callable:
         many = min(OTHERS, len(node) - 1)
         if many < 1:
             return (node[:0], node[:0], np.zeros(0))
-        wanted = np.triu(sim >= threshold)
+        linked = sim >= threshold
+        wanted = np.triu(linked)
         near = np.argpartition(-sim, many - 1, axis=1)[:, :many]
         np.put_along_axis(wanted, near, True, 1)
+        dense = linked.sum(1) > DENSE
+        if dense.any():
+            _thin(wanted, linked, dense)
+            np.fill_diagonal(wanted, dense)
+            np.fill_diagonal(sim, MARK)
         i, j = np.nonzero(wanted)
         return node[i], node[j], sim[i, j]
 
@@ -138,8 +180,12 @@ def _list_join(threshold: float) -> Callable:
         node, new, worst = (np.asarray(g.column(c)) for c in ("node", "new", "worst"))
         x = _unit(_matrix(g.column("vector")))
         sim = x @ x.T
+        unseen = (new[:, None] | new[None, :]) & (node[:, None] != node[None, :])
         wanted = (sim >= threshold) | (sim > worst[:, None]) | (sim > worst[None, :])
-        wanted &= (new[:, None] | new[None, :]) & (node[:, None] < node[None, :])
+        wanted &= unseen & (node[:, None] < node[None, :])
+        dense = worst >= MARK
+        if dense.sum() > 1:
+            _thin(wanted, unseen & (sim >= threshold), dense)
         i, j = np.nonzero(wanted)
         return node[i], node[j], sim[i, j]
 
@@ -189,13 +235,30 @@ def _mirrored(edges: DataFrame) -> DataFrame:
 
 
 def _merged(entries: DataFrame, threshold: float) -> DataFrame:
-    """One row per entry v of the list of u, of the first round that found it, or joined; below the threshold only the best."""
+    """One row per entry v of the list of u, of the first round that found it, or joined; below the threshold only the best.
+
+    ``n`` numbers a list's entries; those of vectors that are ``dense`` are for ``_parted``.
+    """
     one = entries.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("round").alias("round"))
     best = W.partitionBy("u").orderBy(F.desc("sim"), "v")
+    whole = best.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     # Links come first, so their number is known where the others begin.
     link = (F.col("sim") >= threshold).cast("long")
     one = one.withColumn("n", F.row_number().over(best)).withColumn("links", F.sum(link).over(best.rowsBetween(W.unboundedPreceding, 0)))
-    return keep(one.filter((F.col("sim") >= threshold) | (F.col("n") - F.col("links") <= _room(F.col("links")))).drop("n", "links"), "nn-graph")
+    one = one.withColumn("dense", (F.first("sim").over(whole) >= MARK) | (F.sum(link).over(whole) > DENSE))
+    return keep(one.filter((F.col("sim") >= threshold) | (F.col("n") - F.col("links") <= _room(F.col("links")))).drop("links"), "nn-graph")
+
+
+def _parted(merged: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(the graph, in which a dense vector lists itself alone; the links such vectors listed)."""
+    dense = F.col("dense")
+    own = {"v": F.col("u"), "sim": F.lit(MARK), "round": F.lit(OLD)}
+    graph = merged.filter(~dense | (F.col("n") == 1)).select("u", *[F.when(dense, x).otherwise(F.col(c)).alias(c) for c, x in own.items()])
+    return graph, merged.filter(dense & (F.col("u") != F.col("v")) & (F.col("sim") >= threshold)).select("u", "v")
+
+
+def _links(graph: DataFrame, threshold: float) -> DataFrame:
+    return graph.filter((F.col("sim") >= threshold) & (F.col("u") != F.col("v")))
 
 
 def _picked(graph: DataFrame, now: int) -> DataFrame:
@@ -208,8 +271,8 @@ def _picked(graph: DataFrame, now: int) -> DataFrame:
 def _refine(graph: DataFrame, nodes: DataFrame, threshold: float, now: int) -> tuple[DataFrame, DataFrame]:
     """(pairs that neighbours of neighbours suggest, the graph with its joined entries marked)."""
     # What a list would still take: nothing below its worst entry, unless it has room.
-    lists = graph.groupBy("u").agg(F.sum((F.col("sim") >= threshold).cast("long")).alias("links"), F.sum((F.col("sim") < threshold).cast("int")).alias("others"), F.min(F.when(F.col("sim") < threshold, F.col("sim"))).alias("least"))
-    worst = F.when(F.col("others") >= _room(F.col("links")), F.col("least")).otherwise(F.lit(-1.0))
+    lists = graph.groupBy("u").agg(F.sum((F.col("sim") >= threshold).cast("long")).alias("links"), F.sum((F.col("sim") < threshold).cast("int")).alias("others"), F.min(F.when(F.col("sim") < threshold, F.col("sim"))).alias("least"), F.max(F.col("u") == F.col("v")).alias("marked"))
+    worst = F.when(F.col("marked"), MARK).when(F.col("others") >= _room(F.col("links")), F.col("least")).otherwise(F.lit(-1.0))
     picked = _picked(graph, now)
     # The graph holds both directions, so a list is also all those that list the node.
     seen = picked.filter("picked").select(F.col("u").alias("center"), F.col("v").alias("node"), "new")
@@ -241,44 +304,109 @@ def _truth(nodes: DataFrame, threshold: float, every: int) -> DataFrame:
     return together.mapInArrow(lambda batches: _found(_groups(batches, keys), pairs), EDGE)
 
 
-def audited_recall(truth: DataFrame, graph: DataFrame, threshold: float) -> float:
+def _regions(graph: DataFrame, tied: list[DataFrame], threshold: float) -> DataFrame | None:
+    """(node, region) of dense vectors and all that link with them; None without such vectors."""
+    if not tied:
+        return None
+    dense = graph.filter("u = v").select(F.col("u").alias("v"))
+    ties = reduce(DataFrame.union, [_links(graph, threshold).join(dense, "v", "left_semi").select("u", "v"), *tied])
+    found = keep(components(ties.withColumnsRenamed({"u": "a", "v": "b"})), "nn-regions").select(F.col("id").alias("node"), F.col("component").alias("region"))
+    return found.union(found.select("region", "region").distinct())
+
+
+def _region_join(threshold: float) -> Callable:
+    """How many vectors each one links with between two blocks of a region, by the number of their rows."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _groups(batches, ["region", "low", "high"]):
+            node, block, members = (np.asarray(g.column(c)) for c in ("node", "block", "members"))
+            x, low, high = _unit(_matrix(g.column("vector"))), g.column("low")[0].as_py(), g.column("high")[0].as_py()
+            rows, others = np.flatnonzero(block == low), np.flatnonzero(block == high)
+            of, linked = members.astype(np.float64), np.zeros(len(node))
+            for at in range(0, len(rows), BLOCK):
+                part = rows[at : at + BLOCK]
+                near = (x[part] @ x[others].T >= threshold) & (node[part][:, None] != node[others][None, :])
+                near = near.astype(np.float64)
+                linked[part] += near @ of[others]
+                if low != high:
+                    linked[others] += of[part] @ near
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(linked.astype(np.int64))], names=["node", "linked"])
+
+    return counted
+
+
+def _region_links(regions: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(node, linked): rows that link with a vector within its region, all of which are compared, block by block."""
+    blocks = regions.groupBy("region").agg(F.ceil(F.count("*") / REGION_BLOCK).cast("int").alias("blocks"))
+    placed = regions.join(blocks, "region").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("region", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node")
+    keys = ["region", "low", "high"]
+    shipped = placed.join(nodes.select("node", "vector", "members"), "node").repartition(*keys).sortWithinPartitions(*keys)
+    parts = shipped.select(*keys, "block", "node", "members", "vector").mapInArrow(_region_join(threshold), "node long, linked long")
+    return parts.groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
+def _apart(pairs: DataFrame, regions: DataFrame | None) -> DataFrame:
+    """``pairs`` with ``together``: both vectors are of one region, which knows all its links."""
+    if regions is None:
+        return pairs.withColumn("together", F.lit(False))
+    ends = [regions.select(F.col("node").alias(c), F.col("region").alias(f"{c}_region")) for c in ("u", "v")]
+    same = F.coalesce(F.col("u_region") == F.col("v_region"), F.lit(False))
+    return pairs.join(ends[0], "u", "left").join(ends[1], "v", "left").withColumn("together", same).drop("u_region", "v_region")
+
+
+def audited_recall(truth: DataFrame, graph: DataFrame, threshold: float, regions: DataFrame | None = None) -> float:
     """The smallest recall among audited vectors of like many links.
 
     A vector counts by the share of its own links that the graph has, and vectors are
     averaged by the power of two below their number of links: neither a dense cluster's
     many links nor its many vectors hide what isolated pairs lack. 1 without links.
     """
-    links = graph.filter(F.col("sim") >= threshold).select("u", "v", F.lit(1).alias("hit"))
-    share = truth.select("u", "v").join(links, ["u", "v"], "left").groupBy("u").agg(F.count("*").alias("wanted"), (F.count("hit") / F.count("*")).alias("share"))
+    links = _links(graph, threshold).select("u", "v", F.lit(True).alias("listed"))
+    asked = _apart(truth.select("u", "v").join(links, ["u", "v"], "left"), regions)
+    hit = F.count_if(F.col("together") | F.coalesce("listed", F.lit(False)))
+    share = asked.groupBy("u").agg(F.count("*").alias("wanted"), (hit / F.count("*")).alias("share"))
     least = share.groupBy(F.floor(F.log2("wanted")).alias("size")).agg(F.avg("share").alias("recall")).agg(F.min("recall")).first()[0]
     return 1.0 if least is None else least
 
 
-def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, every: int = AUDIT_EVERY) -> tuple[DataFrame, float]:
-    """(edges in both directions, audited recall) of (node, space, vector, audited).
+def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, every: int = AUDIT_EVERY) -> tuple[DataFrame, DataFrame | None, float]:
+    """(links in both directions, regions of dense vectors, audited recall) of (node, space, vector, audited).
 
-    Trees are added until the audit reaches ``recall``, however many that takes. A leaf
+    The links of dense vectors, which are those of their region, are not listed. Trees are added
+    until the audit reaches ``recall``, however many that takes. A leaf
     keeps all its links, so every tree finds any given link with some probability.
     """
-    truth, graph, trees, now = keep(_truth(nodes, threshold, every), "nn-truth"), None, range(TREES), 0
+    truth, graph, tied, trees, now = keep(_truth(nodes, threshold, every), "nn-truth"), None, [], range(TREES), 0
+    link, entry = F.col("sim") >= threshold, ~F.col("dense")
+
+    def merge(entries: DataFrame) -> tuple[DataFrame, int, int]:
+        """(the graph, links that this round found, entries that wait)."""
+        merged = _merged(entries, threshold)
+        graph, ties = _parted(merged, threshold)
+        waits = entry & (F.col("round") > OLD) & (F.col("round") < now)
+        found, waiting, dense = merged.agg(F.count_if(entry & link & (F.col("round") == now)), F.count_if(waits), F.count_if(~entry & (F.col("u") != F.col("v")) & link)).first()
+        if dense:
+            tied.append(keep(ties, "nn-ties"))
+        return graph, found, waiting
+
     while True:
         leaves = _leaves(nodes, trees).join(nodes.select("node", "vector"), "node").repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part")
-        found = leaves.select("tree", "leaf", "part", "node", "vector").mapInArrow(_leaf_join(threshold), EDGE).withColumn("round", F.lit(now))
-        graph = _merged(_mirrored(found) if graph is None else graph.unionByName(_mirrored(found)), threshold)
-        links = graph.filter(F.col("sim") >= threshold).count()
+        found = _mirrored(leaves.select("tree", "leaf", "part", "node", "vector").mapInArrow(_leaf_join(threshold), EDGE).withColumn("round", F.lit(now)))
+        graph, _, _ = merge(found if graph is None else graph.unionByName(found))
         while True:
             now += 1
             more, marked = _refine(graph, nodes, threshold, now)
-            old, graph = graph, _merged(marked.unionByName(_mirrored(more.withColumn("round", F.lit(now)))), threshold)
+            old, (graph, links, waiting) = graph, merge(marked.unionByName(_mirrored(more.withColumn("round", F.lit(now)))))
             drop(old)
-            before = links
-            links, waiting = graph.agg(F.count_if(F.col("sim") >= threshold), F.count_if((F.col("round") > OLD) & (F.col("round") < now))).first()
-            if links == before and not waiting:
+            if not links and not waiting:
                 break
-        reached = audited_recall(truth, graph, threshold)
+        regions = _regions(graph, tied, threshold)
+        reached = audited_recall(truth, graph, threshold, regions)
         _log.info("recall %.4f with %d trees after %d rounds", reached, trees.stop, now)
         if reached >= recall:
-            return graph, reached
+            return _links(graph, threshold), regions, reached
         trees, now = range(trees.stop, trees.stop + TREES), now + 1
 
 
@@ -289,11 +417,15 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, vec_id: str
     # Equal vectors come together through their hash; the vectors themselves are compared by the grouping.
     same = rows.filter("usable").groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("members"), F.max(F.col("vec_id") % every == 0).alias("audited"))
     nodes = keep(same.withColumn("node", F.monotonically_increasing_id()).withColumn("space", F.xxhash64("label", F.size("vector"))), "nn-nodes")
-    graph, _ = neighbour_graph(nodes.select("node", "space", "vector", "audited"), threshold, every=every)
-    links = graph.filter(F.col("sim") >= threshold)
+    links, regions, _ = neighbour_graph(nodes.select("node", "space", "vector", "audited"), threshold, every=every)
+    links = _apart(links, regions).filter(~F.col("together"))
     weight = nodes.select(F.col("node").alias("v"), "members")
     degree = links.join(weight, "v").groupBy(F.col("u").alias("node")).agg(F.sum("members").alias("linked"))
-    groups = components(links.select(F.col("u").alias("a"), F.col("v").alias("b"))).withColumnRenamed("id", "node")
+    joined = links.select(F.col("u").alias("a"), F.col("v").alias("b"))
+    if regions is not None:
+        degree = degree.union(_region_links(regions, nodes, threshold)).groupBy("node").agg(F.sum("linked").alias("linked"))
+        joined = joined.union(regions)
+    groups = components(joined).withColumnRenamed("id", "node")
     named = nodes.join(degree, "node", "left").join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
     named = keep(named.select("label", "vector", "first", "group", (F.coalesce("linked", F.lit(0)) + F.col("members") - 1).alias("n_links")), "nn-named")
     smallest = named.groupBy("group").agg(F.min("first").alias("component_id"))

@@ -162,6 +162,58 @@ def test_isolated_pairs_are_found_beside_a_dense_cluster(spark, monkeypatch):
     assert len(alone) > 300 and sum(got[i] == near[i].sum() for i in alone) >= 0.98 * len(alone)
 
 
+def _near(x):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    return near
+
+
+@pytest.mark.parametrize("trees, leaf", [(8, 96), (2, 8)])
+def test_clusters_are_counted_whole_and_take_rows_by_their_vectors(spark, monkeypatch, trees, leaf):
+    """Two clusters, some of whose vectors link with both, and repeated rows: counts are exact, lists stay short."""
+    for name, value in (("TREES", trees), ("LEAF", leaf), ("REGION_BLOCK", 64)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    rng = np.random.default_rng(8)
+    one = rng.standard_normal(32)
+    two = one + rng.standard_normal(32) * 0.42
+    x = np.concatenate([c + rng.standard_normal((size, 32)) * wide for c, size, wide in ((one, 300, 0.03), (two, 250, 0.12), ((one + two) / 2, 30, 0.1))] + [rng.standard_normal((200, 32))])
+    x = np.concatenate([x, x[:20], x[295:305]])
+    seen, graph_of = [], embedding_dedup.neighbour_graph
+    monkeypatch.setattr(embedding_dedup, "neighbour_graph", lambda *a, **b: seen.append(graph_of(*a, **b)) or seen[0])
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(table, every=5).collect()}
+    near = _near(x)
+    # Rounding may put a pair on either side of the threshold; none of these lies there.
+    assert [got[i]["n_links"] for i in range(len(x))] == near.sum(1).tolist()
+    groups = Sets(list(range(len(x))))
+    for i, j in zip(*np.nonzero(near), strict=True):
+        groups.join(int(i), int(j))
+    assert [got[i]["component_id"] for i in range(len(x))] == [groups.root(i) for i in range(len(x))]
+    assert seen[0][0].count() < 10 * len(x) < near.sum()
+
+
+def test_dense_vectors_connect_what_they_link(spark):
+    """A forest keeps the components of the links; a dense vector's list is itself."""
+    rng = np.random.default_rng(9)
+    linked = rng.random((60, 60)) < 0.03
+    linked |= linked.T
+    np.fill_diagonal(linked, False)
+    want, got = Sets(list(range(60))), Sets(list(range(60)))
+    for a, b in zip(*np.nonzero(linked), strict=True):
+        want.join(int(a), int(b))
+    pairs = list(zip(*embedding_dedup._forest(linked), strict=True))
+    for a, b in pairs:
+        assert linked[a, b]
+        got.join(int(a), int(b))
+    assert [got.root(i) for i in range(60)] == [want.root(i) for i in range(60)] and len(pairs) == 60 - len({want.root(i) for i in range(60)})
+    size = embedding_dedup.DENSE
+    rows = [(0, v, 0.95, 0) for v in range(1, size + 2)] + [(900, v, 0.95, 0) for v in range(1, size + 1)]
+    graph, ties = embedding_dedup._parted(embedding_dedup._merged(spark.createDataFrame(rows, "u long, v long, sim double, round int"), 0.93), 0.93)
+    assert [tuple(r) for r in graph.filter("u = 0").collect()] == [(0, 0, embedding_dedup.MARK, embedding_dedup.OLD)]
+    assert graph.filter("u = 900").count() == size and sorted(r["v"] for r in ties.collect()) == list(range(1, size + 2))
+
+
 def test_members_that_were_not_joined_stay_new(spark):
     """A list longer than a round joins: every member is joined in some round, new ones before others."""
     size = 3 * embedding_dedup.JOINED + 5
