@@ -173,6 +173,28 @@ def test_observation_fans_out_given_roles(docs):
     assert sorted(tuple(r) for r in found) == [("coach", "A", "hi", "e"), ("head", "A", "hi", "e")]
 
 
+def test_submission_columns_pass_the_answers_as_one(docs):
+    """A row's steps carry them in one struct; a column that rows have themselves is the row's."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from support import plan_text
+
+    sub = {"_id": "s", "status": "completed", "isAPrivateProgram": True, "entityId": "e", "createdBy": "u", "title": "T",
+           "completedDate": "2024-01-01T00:00:00Z", "entityType": "school", "solutionId": "x",
+           "answers": {"a": answer("free", "hi", ["hi"], "text", remarks="seen"), "b": answer("free", "ho", ["ho"], "text")}}
+    subs = docs(schemas.OBSERVATION, sub).withColumn("remarks", F.lit("of the submission"))
+    rows = observation_answers(
+        subs, docs(schemas.QUESTION, *QUESTIONS), docs(schemas.SOLUTION, {"_id": "x", "name": "X", "scoringSystem": "pointsBasedScoring"}),
+        docs(schemas.PROGRAM, {"_id": "x"}), docs(schemas.CRITERIA, {"_id": "x"}), docs(schemas.ENTITY, {"_id": "e"}))
+    found = rows.select("questionAnswer", "remarks", "createdBy", "submissionTitle", "solutionName", "scoringSystem", "school").collect()
+    same = ("u", "T", "X", "pointsBasedScoring", "e")
+    assert sorted(tuple(r) for r in found) == [("hi", "seen", *same), ("ho", None, *same)]
+    [carried] = re.findall(r"Arguments: explode\(_matches#\d+\), \[(.*?)\]", plan_text(rows))
+    assert "_whole#" in carried and "createdBy#" not in carried
+
+
 def test_a_theme_may_list_a_criterion_by_its_parent(spark):
     from pyspark.sql import functions as F
 
